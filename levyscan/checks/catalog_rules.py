@@ -99,8 +99,9 @@ def _(t: Inputs):
     ),
 )
 def _(t: Inputs):
-    raw = vars(t.raw)
-    return aggregates.layer_counts({**raw, "bronze_purchase_orders": t.orders})
+    names = bronze.Layer.__dataclass_fields__
+    tables = {name: getattr(t.raw, name) for name in names}
+    return aggregates.layer_counts({**tables, "bronze_purchase_orders": t.orders})
 
 
 @check(
@@ -110,7 +111,7 @@ def _(t: Inputs):
                sum(is_anomalous)::DOUBLE / count(*) AS anomaly_rate FROM silver""",
 )
 def _(t: Inputs):
-    return aggregates.executive_kpis(t.silver, t.risk)
+    return aggregates.executive_kpis(t.silver_table, t.risk)
 
 
 @check("ag14_compliance_by_tier", f"SELECT risk_tier, count(*) AS n_vendors, {exact_avg('filing_compliance_rate')} AS avg_compliance FROM vendor_risk GROUP BY risk_tier")
@@ -210,7 +211,7 @@ def _(t: Inputs):
 
 @check("sc3_state_name", "SELECT c_custkey, state_name FROM customer LEFT JOIN state_names ON code = (c_custkey % 60)::VARCHAR")
 def _(t: Inputs):
-    keys = t.spark.read.parquet(f"{t.base}/customer.parquet")
+    keys = t.table("customer")
     return keys.select("c_custkey", scalars.state_name((F.col("c_custkey") % 60).cast("string")).alias("state_name"))
 
 
@@ -268,7 +269,7 @@ def _(t: Inputs):
 @check("sc13_padded_id", "SELECT o_orderkey, printf('INV%08d', o_orderkey) AS narrow, printf('T%02d', o_orderkey) AS wide FROM orders")
 def _(t: Inputs):
     key = F.col("o_orderkey")
-    orders = t.spark.read.parquet(f"{t.base}/orders.parquet")
+    orders = t.table("orders")
     return orders.select(key, scalars.padded_id("INV", key, 8).alias("narrow"), scalars.padded_id("T", key, 2).alias("wide"))
 
 
@@ -359,9 +360,8 @@ def _(t: Inputs):
 @check("ru9_director_overlap", "SELECT po_id, director_vendor_count, director_overlap_flag FROM flagged")
 def _(t: Inputs):
     rows = t.orders_with_vendor
-    counts = keyed.key_counts(rows, ["director_pan_1"])
     shared = aggregates.vendors_per_director(rows)
-    joined = keyed.spread_left_join(rows, shared, ["director_pan_1"], counts, ["po_id"])
+    joined = keyed.lookup_join(rows, shared, ["director_pan_1"], ["po_id"])
     return joined.select("po_id", "director_vendor_count", rules.director_overlap_flag().alias("director_overlap_flag"))
 
 
@@ -448,7 +448,7 @@ def _(t: Inputs):
 )
 def _(t: Inputs):
     hit = F.count(F.when(F.col("o_orderkey") % 50 < 3, 1))
-    rates = t.spark.read.parquet(f"{t.base}/orders.parquet").groupBy(F.col("o_custkey").alias("vendor_key")).agg((hit / F.count("*")).alias("anomaly_rate"))
+    rates = t.table("orders").groupBy(F.col("o_custkey").alias("vendor_key")).agg((hit / F.count("*")).alias("anomaly_rate"))
     return rates.withColumn("risk_tier", rules.vendor_risk_tier())
 
 
@@ -475,4 +475,4 @@ def _(t: Inputs):
 
 @check("pl5_gold_vendor_risk", "SELECT * FROM vendor_risk")
 def _(t: Inputs):
-    return t.risk
+    return gold.gold_vendor_risk(t.silver)

@@ -93,7 +93,7 @@ def _(t: Inputs):
 
 @check("prj4_vendor_side", "SELECT vendor_id, status AS vendor_status, s_suppkey AS vendor_row_id FROM raw_vendors JOIN supplier ON s_name = trade_name")
 def _(t: Inputs):
-    ids = t.spark.read.parquet(f"{t.base}/supplier.parquet").select(F.col("s_name").alias("trade_name"), F.col("s_suppkey").alias("id"))
+    ids = t.table("supplier").select(F.col("s_name").alias("trade_name"), F.col("s_suppkey").alias("id"))
     vendors = projection.with_audit_timestamp(t.raw.vendors, "ingestion_timestamp", AS_OF).join(ids, "trade_name")
     return projection.prepare_vendor_side(vendors).select("vendor_id", "vendor_status", "vendor_row_id")
 
@@ -223,7 +223,7 @@ def _(t: Inputs):
 
 @check("jn6_director_counts", "SELECT vendor_id, director_pan_1, director_vendor_count FROM vendor_pans LEFT JOIN pan_counts USING (director_pan_1)")
 def _(t: Inputs):
-    pans = t.bronze.vendors.join(t.orders.select("vendor_id").distinct(), "vendor_id", "left_semi").select("vendor_id", "director_pan_1")
+    pans = t.bronze_vendors.join(t.orders.select("vendor_id").distinct(), "vendor_id", "left_semi").select("vendor_id", "director_pan_1")
     return keyed.attach_director_counts(pans, pans)
 
 

@@ -13,6 +13,42 @@ from levyscan.operators.models import BOOSTED_NAME, FOREST_NAME, decide, predict
 from levyscan.operators.setops import append_by_name
 from levyscan.plans import bronze, gold, silver
 from levyscan.sources import trade_tables
+from levyscan.sources.staging import stage
+
+
+class RawTables:
+    """The seven inputs, each built when first asked for."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self._at = (spark, base)
+
+    @cached_property
+    def purchase_orders(self) -> DataFrame:
+        return trade_tables.purchase_orders(*self._at)
+
+    @cached_property
+    def vendors(self) -> DataFrame:
+        return trade_tables.vendors(*self._at)
+
+    @cached_property
+    def vendor_invoices(self) -> DataFrame:
+        return trade_tables.vendor_invoices(*self._at)
+
+    @cached_property
+    def hsn_rate_schedule(self) -> DataFrame:
+        return trade_tables.rates(*self._at)
+
+    @cached_property
+    def cbic_blacklist(self) -> DataFrame:
+        return trade_tables.blacklist(*self._at)
+
+    @cached_property
+    def historical_po_values(self) -> DataFrame:
+        return trade_tables.spend_history(*self._at)
+
+    @cached_property
+    def ground_truth(self) -> DataFrame:
+        return trade_tables.ground_truth(*self._at)
 
 
 class Inputs:
@@ -21,29 +57,22 @@ class Inputs:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
+        self.raw = RawTables(spark, self.base)
 
-    def _source(self, build) -> DataFrame:
-        return build(self.spark, self.base)
-
-    @cached_property
-    def raw(self) -> bronze.Layer:
-        return bronze.Layer(
-            purchase_orders=self._source(trade_tables.purchase_orders),
-            vendors=self._source(trade_tables.vendors),
-            vendor_invoices=self._source(trade_tables.vendor_invoices),
-            hsn_rate_schedule=self._source(trade_tables.rates),
-            cbic_blacklist=self._source(trade_tables.blacklist),
-            historical_po_values=self._source(trade_tables.spend_history),
-            ground_truth=self._source(trade_tables.ground_truth),
-        )
+    def table(self, name: str) -> DataFrame:
+        return trade_tables.read(self.spark, self.base, name)
 
     @cached_property
     def bronze(self) -> bronze.Layer:
         return bronze.build_bronze(self.raw, AS_OF)
 
+    @cached_property
+    def bronze_vendors(self) -> DataFrame:
+        return bronze.bronze_vendors(self.raw.vendors, AS_OF)
+
     @cached_property
     def orders(self) -> DataFrame:
-        return self.bronze.purchase_orders
+        return bronze.bronze_purchase_orders(self.raw.purchase_orders, AS_OF)
 
     @cached_property
     def vendor_flags(self) -> DataFrame:
@@ -53,19 +82,24 @@ class Inputs:
 
     @cached_property
     def orders_with_vendor(self) -> DataFrame:
-        return silver.attach_vendor(self.orders, self.bronze.vendors)
+        return silver.attach_vendor(self.orders, self.bronze_vendors)
 
     @cached_property
     def orders_with_invoice(self) -> DataFrame:
-        return silver.attach_invoice(self.orders, self.bronze.vendor_invoices)
+        return silver.attach_invoice(self.orders, self.raw.vendor_invoices)
 
     @cached_property
     def silver(self) -> DataFrame:
         return silver.build_silver(self.bronze, AS_OF)
 
+    @cached_property
+    def silver_table(self) -> DataFrame:
+        """The silver layer as a written table, for queries that read it more than once."""
+        return stage(self.silver, "silver")
+
     @cached_property
     def risk(self) -> DataFrame:
-        return gold.gold_vendor_risk(self.silver)
+        return gold.gold_vendor_risk(self.silver_table)
 
     @cached_property
     def scores(self) -> DataFrame:
@@ -93,7 +127,7 @@ class Inputs:
     def flags(self) -> DataFrame:
         forest = prediction_table(self.scores_of(FOREST_NAME), "rf")
         boosted = prediction_table(self.scores_of(BOOSTED_NAME), "xgb", with_tier=True)
-        return gold.gold_anomaly_flags(self.silver, forest, boosted, AS_OF)
+        return gold.gold_anomaly_flags(self.silver_table, forest, boosted, AS_OF)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

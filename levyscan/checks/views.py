@@ -287,4 +287,7 @@ def with_views(sql: str) -> str:
     if not needed:
         return sql
     parts = ", ".join(f"{name} AS ({body})" for name, body in VIEWS.items() if name in needed)
-    return f"WITH RECURSIVE {parts} {sql}"
+    own = sql.strip()
+    if own.startswith("WITH "):
+        return f"WITH RECURSIVE {parts}, {own.removeprefix('WITH ')}"
+    return f"WITH RECURSIVE {parts} {own}"

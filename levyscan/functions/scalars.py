@@ -30,8 +30,8 @@ def state_code(gstin: Column) -> Column:
 
 def state_name(code: Column) -> Column:
     """Name of a two-digit state code; null for an unknown code."""
-    entries = [F.lit(part) for pair in STATE_NAMES.items() for part in pair]
-    return F.create_map(*entries)[code]
+    entries = ", ".join(f"'{key}', '{name}'" for key, name in STATE_NAMES.items())
+    return F.expr(f"map({entries})")[code]
 
 
 def differs_ignoring_case(left: Column, right: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from levyscan.constants import CASE_COLUMNS, SUSPICIOUS_BELOW
 from levyscan.functions.scalars import plain_number_text
-from levyscan.operators.keyed import key_counts, one_per_key, spread_left_join
+from levyscan.operators.keyed import lookup_join, one_per_key
 
 RESPONSE_FIELDS = [
     "risk_level",
@@ -29,8 +29,7 @@ def attach_vendor_risk(flags: DataFrame, risk: DataFrame) -> DataFrame:
         ["vendor_id"],
         prefer=["risk_tier"],
     )
-    counts = key_counts(flags, ["vendor_id"])
-    return spread_left_join(flags, side, ["vendor_id"], counts, ["po_id"])
+    return lookup_join(flags, side, ["vendor_id"], ["po_id"])
 
 
 def case_table(flags: DataFrame, risk: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from levyscan.sources.staging import stage
+
 ROWS_PER_SALT = 1_000_000
 MAX_HEAVY_KEYS = 10_000
 BROADCAST_ROWS = 100_000
@@ -70,6 +72,7 @@ def left_join_on(left: DataFrame, right: DataFrame, keys: list[str], null_safe:
 def heavy_keys(
     counts: DataFrame, keys: list[str], name: str = "n", rows_per_salt: int = ROWS_PER_SALT
 ) -> DataFrame:
+    """Keys that need more than one slice, with their number of slices."""
     return (
         counts.filter(F.col(name) > rows_per_salt)
         .orderBy(F.desc(name), *keys)
@@ -86,14 +89,17 @@ def spread_left_join(
     identity: list[str],
     null_safe: bool = False,
     rows_per_salt: int = ROWS_PER_SALT,
-    count_name: str = "n",
 ) -> DataFrame:
     """Left join to a side that is unique per key, with heavy left keys cut into slices.
 
-    `counts` holds the left row count per key, `identity` the columns that tell the rows
-    of one key apart.
+    `counts` holds the left row count `n` per key (keys that are surely light may be
+    missing), `identity` the columns that tell the rows of one key apart. The heavy keys
+    are written once; where there are none, this is a plain join.
     """
-    heavy = F.broadcast(heavy_keys(counts, keys, count_name, rows_per_salt))
+    heavy = stage(heavy_keys(counts, keys, "n", rows_per_salt), "heavy")
+    if heavy.isEmpty():
+        return left_join_on(left, right, keys, null_safe)
+    heavy = F.broadcast(heavy)
     salts = F.coalesce(F.col(_SALTS), F.lit(1))
     sliced = left_join_on(left, heavy, keys, null_safe=True).withColumn(
         _SALT, F.when(salts > 1, F.pmod(F.xxhash64(*identity), salts).cast("int")).otherwise(0)
@@ -102,9 +108,7 @@ def spread_left_join(
         _SALT, F.explode(F.sequence(F.lit(0), salts - 1))
     )
     other = _prefixed(copies.drop(_SALTS), keys).withColumnRenamed(_SALT, "_r_salt")
-    condition = reduce(
-        lambda a, b: a & b, _on(keys, null_safe), F.col(_SALT) == F.col("_r_salt")
-    )
+    condition = reduce(lambda a, b: a & b, _on(keys, null_safe), F.col(_SALT) == F.col("_r_salt"))
     joined = sliced.join(other, condition, "left")
     return joined.drop(_SALT, _SALTS, "_r_salt", *[f"_r_{k}" for k in keys])
 
@@ -114,13 +118,17 @@ def lookup_join(
     right: DataFrame,
     keys: list[str],
     identity: list[str],
+    counts: DataFrame | None = None,
+    null_safe: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
-    """Left join to a lookup table that is unique per key. It is broadcast when its row
-    count proves to be small; else both sides are shuffled with heavy keys spread."""
+    """Left join to a table that is unique per key. It is broadcast when its row count
+    proves to be small; else both sides are shuffled with heavy keys spread."""
     if is_small(right, broadcast_rows):
-        return left.join(F.broadcast(right), keys, "left")
-    return spread_left_join(left, right, keys, key_counts(left, keys), identity)
+        return left_join_on(left, F.broadcast(right), keys, null_safe)
+    known = key_counts(left, keys) if counts is None else counts
+    return spread_left_join(left, right, keys, known, identity, null_safe, rows_per_salt)
 
 
 def count_within(
@@ -129,32 +137,29 @@ def count_within(
     name: str,
     identity: list[str],
     source: DataFrame | None = None,
-    rows_per_salt: int = ROWS_PER_SALT,
+    **options,
 ) -> DataFrame:
     """Add the number of rows that share the keys (null keys form a group of their own).
 
-    Only groups of two or more travel back to the rows; the others are 1 by definition.
-    `source` may name a narrower frame with the same rows to count on.
+    Only groups of two or more are written and travel back to the rows; the others are 1 by
+    definition. `source` may name a narrower frame with the same rows to count on.
     """
-    counts = key_counts(df if source is None else source, keys)
-    shared = counts.filter(F.col("n") > 1).withColumnRenamed("n", name)
-    joined = spread_left_join(
-        df, shared, keys, counts, identity, null_safe=True, rows_per_salt=rows_per_salt
-    )
+    shared = stage(repeated_keys(df if source is None else source, keys), "groups")
+    sizes = shared.withColumnRenamed("n", name)
+    joined = lookup_join(df, sizes, keys, identity, shared, null_safe=True, **options)
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(1).cast("bigint")))
 
 
 def member_flag(
-    df: DataFrame, members: DataFrame, keys: list[str], name: str, identity: list[str]
+    df: DataFrame, members: DataFrame, keys: list[str], name: str, identity: list[str], **options
 ) -> DataFrame:
     """1 where the key is in the member table, else 0; repeats there do not add rows."""
     listed = members.select(*keys).distinct().withColumn(name, F.lit(1))
-    return lookup_join(df, listed, keys, identity).withColumn(name, F.coalesce(name, F.lit(0)))
+    joined = lookup_join(df, listed, keys, identity, **options)
+    return joined.withColumn(name, F.coalesce(name, F.lit(0)))
 
 
-def attach_director_counts(
-    df: DataFrame, vendor_pans: DataFrame, rows_per_salt: int = ROWS_PER_SALT
-) -> DataFrame:
+def attach_director_counts(df: DataFrame, vendor_pans: DataFrame, **options) -> DataFrame:
     """Vendors per director PAN, joined to every row with that PAN; a missing PAN gets null.
 
     `vendor_pans` has one row per vendor: vendor_id and director_pan_1.
@@ -166,7 +171,4 @@ def attach_director_counts(
         .groupBy("director_pan_1")
         .agg(F.count("*").alias("director_vendor_count"))
     )
-    counts = key_counts(df, ["director_pan_1"])
-    return spread_left_join(
-        df, per_pan, ["director_pan_1"], counts, ["vendor_id"], rows_per_salt=rows_per_salt
-    )
+    return lookup_join(df, per_pan, ["director_pan_1"], ["vendor_id"], **options)

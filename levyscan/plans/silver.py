@@ -3,10 +3,10 @@ label, rule flags, score and model features.
 
 Shape of the plan. Everything that hangs on the vendor (blacklist, shared directors, order
 frequency, spending history) is first joined at the grain of vendor and month, a table far
-smaller than the orders. The orders then move three times in all: once on the order id for
-invoice and label, once on (vendor, month) for that profile, and once each for the two group
-counts, whose right sides hold only groups of two or more. Keys that hold a large share of
-the rows are spread over many tasks in each of these joins.
+smaller than the orders, and written. The wide orders then move once on the order id for
+invoice and label, and once for each lookup that is too large to broadcast: the profile and
+the two tables of group sizes, which hold only groups of two or more. Group sizes are found
+on a written copy of the six key columns, so the wide rows are read once.
 """
 
 from pyspark.sql import DataFrame
@@ -17,14 +17,12 @@ from levyscan.functions.similarity import name_similarity
 from levyscan.operators import rules
 from levyscan.operators.aggregates import merge_history
 from levyscan.operators.keyed import (
-    ROWS_PER_SALT,
     attach_director_counts,
     key_counts,
     left_join_on,
     lookup_join,
     member_flag,
     one_per_key,
-    spread_left_join,
 )
 from levyscan.operators.projection import (
     bind_labels,
@@ -33,6 +31,7 @@ from levyscan.operators.projection import (
     prepare_vendor_side,
 )
 from levyscan.plans.bronze import Layer
+from levyscan.sources.staging import stage
 
 MONTH_KEYS = ["vendor_id", "year_month"]
 
@@ -43,34 +42,28 @@ def invoice_per_order(invoices: DataFrame) -> DataFrame:
     return kept.withColumn("invoice_date", parse_date(F.col("invoice_date")))
 
 
-def attach_vendor(orders: DataFrame, vendors: DataFrame, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+def attach_vendor(orders: DataFrame, vendors: DataFrame, **options) -> DataFrame:
     """Vendor master on the vendor id."""
     side = one_per_key(prepare_vendor_side(vendors), ["vendor_id"])
-    counts = key_counts(orders, ["vendor_id"])
-    return spread_left_join(orders, side, ["vendor_id"], counts, ["po_id"], rows_per_salt=rows_per_salt)
+    return lookup_join(orders, side, ["vendor_id"], ["po_id"], **options)
 
 
 def attach_invoice(orders: DataFrame, invoices: DataFrame) -> DataFrame:
     return orders.join(invoice_per_order(invoices), "po_id", "left")
 
 
-def attach_rate(orders: DataFrame, rates: DataFrame) -> DataFrame:
+def attach_rate(orders: DataFrame, rates: DataFrame, **options) -> DataFrame:
     schedule = one_per_key(
         rates.select("hsn_code", F.col("gst_rate").try_cast("double").alias("gst_rate")), ["hsn_code"]
     )
-    return lookup_join(orders, schedule, ["hsn_code"], ["po_id"])
+    return lookup_join(orders, schedule, ["hsn_code"], ["po_id"], **options)
 
 
 def attach_history(
-    orders: DataFrame,
-    history: DataFrame,
-    history_value_is: str = "average",
-    rows_per_salt: int = ROWS_PER_SALT,
+    orders: DataFrame, history: DataFrame, history_value_is: str = "average", **options
 ) -> DataFrame:
     """Spending history on vendor and month."""
-    counts = key_counts(orders, MONTH_KEYS)
-    merged = merge_history(history, history_value_is)
-    return spread_left_join(orders, merged, MONTH_KEYS, counts, ["po_id"], rows_per_salt=rows_per_salt)
+    return lookup_join(orders, merge_history(history, history_value_is), MONTH_KEYS, ["po_id"], **options)
 
 
 def attach_labels(orders: DataFrame, labels: DataFrame) -> DataFrame:
@@ -78,16 +71,14 @@ def attach_labels(orders: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def vendor_month_profile(
-    bronze: Layer, month_counts: DataFrame, history_value_is: str, rows_per_salt: int
+    bronze: Layer, month_counts: DataFrame, history_value_is: str = "average", **options
 ) -> DataFrame:
     """All vendor facts per (vendor, month) that occurs in the orders."""
     frequency = month_counts.groupBy("vendor_id").agg(F.sum("n").alias("vendor_po_frequency"))
     master = one_per_key(prepare_vendor_side(bronze.vendors), ["vendor_id"])
-    ordering = master.join(frequency, "vendor_id")
-    listed = member_flag(ordering, bronze.cbic_blacklist, ["gstin"], "blacklisted", ["vendor_id"])
-    vendors = attach_director_counts(
-        listed, ordering.select("vendor_id", "director_pan_1"), rows_per_salt
-    ).drop("vendor_po_frequency")
+    ordering = master.join(frequency.select("vendor_id"), "vendor_id", "left_semi")
+    listed = member_flag(ordering, bronze.cbic_blacklist, ["gstin"], "blacklisted", ["vendor_id"], **options)
+    vendors = attach_director_counts(listed, ordering.select("vendor_id", "director_pan_1"), **options)
     # A vendor has at most one row per calendar month here, so these joins cannot skew.
     by_month = month_counts.select(*MONTH_KEYS).join(frequency, "vendor_id")
     with_vendor = by_month.join(vendors, "vendor_id", "left")
@@ -99,31 +90,32 @@ def build_silver(
     as_of: str | None = None,
     history_value_is: str = "average",
     null_invoice: str = "group",
-    rows_per_salt: int = ROWS_PER_SALT,
+    **options,
 ) -> DataFrame:
+    """The wide table. `options` (broadcast_rows, rows_per_salt) reach every lookup.
+
+    Four small tables are written on the way: orders per vendor and month, the vendor
+    profile, the six key columns of the orders, and the groups found in them.
+    """
     orders = enforce_types(bronze.purchase_orders).withColumn("year_month", year_month(F.col("po_date")))
     invoices = invoice_per_order(bronze.vendor_invoices)
-    month_counts = key_counts(orders, MONTH_KEYS)
-    profile = vendor_month_profile(bronze, month_counts, history_value_is, rows_per_salt)
+    month_counts = stage(key_counts(orders, MONTH_KEYS), "vendor-months")
+    profile = stage(vendor_month_profile(bronze, month_counts, history_value_is, **options), "vendor-profile")
 
-    def with_profile(frame: DataFrame) -> DataFrame:
-        return spread_left_join(
-            frame, profile, MONTH_KEYS, month_counts, ["po_id"], null_safe=True, rows_per_salt=rows_per_salt
-        )
-
-    labelled = attach_labels(orders.join(invoices, "po_id", "left"), bronze.ground_truth)
-    wide = with_row_rules(attach_rate(with_profile(labelled), bronze.hsn_rate_schedule), as_of)
+    def with_profile(frame: DataFrame, *columns: str) -> DataFrame:
+        side = profile.select(*MONTH_KEYS, *columns) if columns else profile
+        return lookup_join(frame, side, MONTH_KEYS, ["po_id"], month_counts, null_safe=True, **options)
 
-    # The group counts need six columns only: they run on a narrow copy of the joins above.
     narrow = orders.select("po_id", "year", "month", *MONTH_KEYS).join(
         invoices.select("po_id", "invoice_number", "invoice_date"), "po_id", "left"
     )
-    narrow = with_profile(narrow).select(
-        "gstin", "vendor_id", "invoice_number", "invoice_date", "year", "month"
-    )
-    counted = rules.add_duplicate_counts(wide, narrow, null_invoice, rows_per_salt=rows_per_salt)
-    counted = rules.add_same_day_counts(counted, narrow, rows_per_salt=rows_per_salt)
-    return with_score(counted)
+    group_keys = dict.fromkeys([*rules.DUPLICATE_KEYS, *rules.SAME_DAY_KEYS])
+    narrow = stage(with_profile(narrow, "gstin").select(*group_keys), "order-keys")
+
+    labelled = attach_labels(orders.join(invoices, "po_id", "left"), bronze.ground_truth)
+    wide = with_row_rules(attach_rate(with_profile(labelled), bronze.hsn_rate_schedule, **options), as_of)
+    counted = rules.add_duplicate_counts(wide, narrow, null_invoice, **options)
+    return with_score(rules.add_same_day_counts(counted, narrow, **options))
 
 
 def with_row_rules(wide: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -8,101 +8,93 @@ that every rule meets both outcomes and the result is the same on every run.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levyscan.functions.scalars import exact_sum, padded_id, state_name, year_month
+from levyscan.functions.scalars import exact_sum, state_name
 
 
-def _read(spark: SparkSession, base: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/{table}.parquet")
+SCHEMAS = {
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
 
 
-def _two_style_date(key, day):
+def read(spark: SparkSession, base: str, table: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{base}/{table}.parquet")
+
+
+def _two_style_date(key: str, day: str) -> str:
     """Even keys dd/MM/yyyy, odd keys ISO."""
-    return F.when(key % 2 == 0, F.date_format(day, "dd/MM/yyyy")).otherwise(
-        F.date_format(day, "yyyy-MM-dd")
-    )
+    return f"date_format({day}, if({key} % 2 = 0, 'dd/MM/yyyy', 'yyyy-MM-dd'))"
 
 
-def _gstin(nation, key):
-    return F.concat(
-        F.lpad((nation + 1).cast("string"), 2, "0"),
-        F.lit("ABCDE"),
-        F.lpad((key % 10000).cast("string"), 4, "0"),
-        F.lit("F1"),
-        F.when(key % 17 == 0, "X").otherwise("Z"),
-        (key % 10).cast("string"),
+def _gstin(nation: str, key: str) -> str:
+    return (
+        f"concat(lpad({nation} + 1, 2, '0'), 'ABCDE', lpad({key} % 10000, 4, '0'), 'F1', "
+        f"if({key} % 17 = 0, 'X', 'Z'), {key} % 10)"
     )
 
 
-def _state(nation):
-    return state_name(F.lpad((nation + 1).cast("string"), 2, "0"))
+def _with_state(df: DataFrame, nation: str) -> DataFrame:
+    return df.withColumn("state", state_name(F.expr(f"lpad({nation} + 1, 2, '0')")))
 
 
 def vendors(spark: SparkSession, base: str) -> DataFrame:
-    s = F.col("s_suppkey")
-    nation = F.col("s_nationkey")
-    quarters = [
-        F.when(F.lit(q == 0) & (s % 31 == 0), F.lit(None))
-        .when((s + 3 * q) % 5 < 3, "✓")
-        .otherwise("✗")
-        .alias(f"filing_history_q{q + 1}")
-        for q in range(6)
-    ]
-    registered = F.date_add(F.lit("2012-01-01").cast("date"), ((s * 37) % 4000).cast("int"))
-    return _read(spark, base, "supplier").select(
-        padded_id("V", s + 1, 5).alias("vendor_id"),
-        _gstin(nation, s).alias("gstin"),
-        F.col("s_name").alias("trade_name"),
-        F.concat(F.lit("Legal "), "s_name").alias("legal_name"),
-        _state(nation).alias("billing_state"),
-        _two_style_date(s, registered).alias("registration_date"),
-        F.when(s % 20 == 7, "Cancelled").otherwise("Active").alias("status"),
-        F.when(s % 12 == 0, "Yes").otherwise("No").alias("composition_flag"),
-        *quarters,
-        F.when(s % 23 != 0, F.concat(F.lit("PANAA"), F.lpad((s % 90).cast("string"), 4, "0"), F.lit("A"))).alias("director_pan_1"),
-        F.when(s % 3 != 0, F.concat(F.lit("PANBB"), F.lpad((s % 70).cast("string"), 4, "0"), F.lit("B"))).alias("director_pan_2"),
+    def quarter(q: int) -> str:
+        gap = "when s_suppkey % 31 = 0 then null " if q == 0 else ""
+        return f"case {gap}when (s_suppkey + {3 * q}) % 5 < 3 then '✓' else '✗' end as filing_history_q{q + 1}"
+
+    registered = "date_add(date '2012-01-01', cast((s_suppkey * 37) % 4000 as int))"
+    return _with_state(read(spark, base, "supplier"), "s_nationkey").selectExpr(
+        "format_string('V%05d', s_suppkey + 1) as vendor_id",
+        f"{_gstin('s_nationkey', 's_suppkey')} as gstin",
+        "s_name as trade_name",
+        "concat('Legal ', s_name) as legal_name",
+        "state as billing_state",
+        f"{_two_style_date('s_suppkey', registered)} as registration_date",
+        "if(s_suppkey % 20 = 7, 'Cancelled', 'Active') as status",
+        "if(s_suppkey % 12 = 0, 'Yes', 'No') as composition_flag",
+        *[quarter(q) for q in range(6)],
+        "if(s_suppkey % 23 <> 0, concat('PANAA', lpad(s_suppkey % 90, 4, '0'), 'A'), null) as director_pan_1",
+        "if(s_suppkey % 3 <> 0, concat('PANBB', lpad(s_suppkey % 70, 4, '0'), 'B'), null) as director_pan_2",
     )
 
 
 def rates(spark: SparkSession, base: str) -> DataFrame:
-    kind = F.col("hsn_code")
     return (
-        _read(spark, base, "part")
+        read(spark, base, "part")
         .select(F.col("p_type").alias("hsn_code"))
         .distinct()
-        .select(
+        .selectExpr(
             "hsn_code",
-            F.concat(kind, F.lit(" goods")).alias("description"),
-            F.when(kind == "ECONOMY", 5.0)
-            .when(kind == "STANDARD", 12.0)
-            .when(kind.isin("PROMO", "SMALL"), 18.0)
-            .otherwise(28.0)
-            .alias("gst_rate"),
-            F.lit("No").alias("cess_applicable"),
-            F.lit("2017-07-01").alias("effective_from"),
+            "concat(hsn_code, ' goods') as description",
+            """case hsn_code when 'ECONOMY' then 5.0D when 'STANDARD' then 12.0D
+               when 'PROMO' then 18.0D when 'SMALL' then 18.0D else 28.0D end as gst_rate""",
+            "'No' as cess_applicable",
+            "'2017-07-01' as effective_from",
         )
     )
 
 
+def _lines_per_order(spark: SparkSession, base: str) -> DataFrame:
+    """The supplier (s) and part (p) that stand for an order (k)."""
+    lines = read(spark, base, "lineitem").groupBy(F.col("l_orderkey").alias("k"))
+    return lines.agg(F.min("l_suppkey").alias("s"), F.min("l_partkey").alias("p"))
+
+
 def _order_base(spark: SparkSession, base: str) -> DataFrame:
-    """One row per order: k, vendor key s, buyer, product kind and dates."""
-    lines = (
-        _read(spark, base, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("k"))
-        .agg(F.min("l_suppkey").alias("s"), F.min("l_partkey").alias("p"))
-    )
-    orders = _read(spark, base, "orders").select(
-        F.col("o_orderkey").alias("k"),
-        F.col("o_custkey").alias("c"),
-        F.col("o_totalprice").alias("price"),
-        F.to_date("o_orderdate").alias("day"),
-    )
-    buyers = _read(spark, base, "customer").select(
-        F.col("c_custkey").alias("c"), F.col("c_nationkey").alias("nation")
+    orders = read(spark, base, "orders").selectExpr(
+        "o_orderkey as k", "o_custkey as c", "o_totalprice as price", "to_date(o_orderdate) as day"
     )
-    kinds = _read(spark, base, "part").select(F.col("p_partkey").alias("p"), "p_type", "p_name")
-    names = _read(spark, base, "supplier").select(F.col("s_suppkey").alias("s"), "s_name")
+    buyers = read(spark, base, "customer").selectExpr("c_custkey as c", "c_nationkey as nation")
+    kinds = read(spark, base, "part").selectExpr("p_partkey as p", "p_type", "p_name")
+    names = read(spark, base, "supplier").selectExpr("s_suppkey as s", "s_name")
     return (
-        orders.join(lines, "k", "left")
+        orders.join(_lines_per_order(spark, base), "k", "left")
         .join(buyers, "c", "left")
         .join(kinds, "p", "left")
         .join(names, "s", "left")
@@ -110,107 +102,89 @@ def _order_base(spark: SparkSession, base: str) -> DataFrame:
 
 
 def purchase_orders(spark: SparkSession, base: str) -> DataFrame:
-    k, price = F.col("k"), F.col("price")
-    kind = F.col("p_type")
-    half_rate = (
-        F.when(kind == "ECONOMY", 2.5)
-        .when(kind == "STANDARD", 6.0)
-        .when(kind.isin("PROMO", "SMALL"), 9.0)
-        .when(kind.isNotNull(), 14.0)
-    )
-    rows = _order_base(spark, base).withColumns(
-        {
-            "cgst_rate": half_rate + F.when(k % 97 == 0, 5.0).otherwise(0.0),
-            "sgst_rate": half_rate,
-            "igst_rate": F.when(k % 113 == 0, 18.0).otherwise(0.0),
-        }
-    )
-    billing_name = (
-        F.when(k % 29 == 0, F.lit(None))
-        .when(k % 13 == 0, "XYZ TRADING COMPANY")
-        .when(k % 17 == 5, F.upper("s_name"))
-        .when(k % 19 == 7, F.concat("s_name", F.lit(" Pvt Ltd")))
-        .otherwise(F.col("s_name"))
-    )
-    state = _state(F.col("nation"))
-    return rows.select(
-        padded_id("PO", k + 1, 7).alias("po_id"),
-        F.date_format("day", "dd/MM/yyyy").alias("po_date"),
-        F.when(F.col("s").isNotNull(), padded_id("V", F.col("s") + 1, 5)).alias("vendor_id"),
-        _gstin(F.col("nation"), F.col("c")).alias("buyer_gstin"),
-        F.when(k % 19 == 0, "Karnataka").otherwise(state).alias("buyer_state"),
-        kind.alias("hsn_code"),
-        F.col("p_name").alias("product_desc"),
-        (k % 50 + 1).cast("int").alias("quantity"),
-        F.lit("NOS").alias("unit"),
-        price.alias("base_amount"),
+    half_rate = """case when p_type = 'ECONOMY' then 2.5D when p_type = 'STANDARD' then 6.0D
+                   when p_type in ('PROMO', 'SMALL') then 9.0D when p_type is not null then 14.0D end"""
+    rated = _with_state(_order_base(spark, base), "nation").selectExpr(
+        "*",
+        f"{half_rate} + if(k % 97 = 0, 5.0D, 0.0D) as cgst_rate",
+        f"{half_rate} as sgst_rate",
+        "if(k % 113 = 0, 18.0D, 0.0D) as igst_rate",
+    )
+    return rated.selectExpr(
+        "format_string('PO%07d', k + 1) as po_id",
+        "date_format(day, 'dd/MM/yyyy') as po_date",
+        "if(s is not null, format_string('V%05d', s + 1), null) as vendor_id",
+        f"{_gstin('nation', 'c')} as buyer_gstin",
+        "if(k % 19 = 0, 'Karnataka', state) as buyer_state",
+        "p_type as hsn_code",
+        "p_name as product_desc",
+        "cast(k % 50 + 1 as int) as quantity",
+        "'NOS' as unit",
+        "price as base_amount",
         "cgst_rate",
         "sgst_rate",
         "igst_rate",
-        (price * F.col("cgst_rate") / 100.0).alias("cgst_amt"),
-        (price * F.col("sgst_rate") / 100.0).alias("sgst_amt"),
-        (price * F.col("igst_rate") / 100.0).alias("igst_amt"),
-        F.lit(0.0).alias("cess_amt"),
-        (price * 1.18).alias("total_amount"),
-        F.when(k % 11 != 0, F.concat(F.lit("EWB"), k.cast("string"))).alias("ewb_number"),
-        _two_style_date(k, F.date_add("day", 1)).alias("ewb_generated_date"),
-        state.alias("place_of_supply"),
-        state.alias("delivery_state"),
-        billing_name.alias("invoice_billing_name"),
-        F.col("s_name").alias("po_vendor_name"),
+        "price * cgst_rate / 100.0D as cgst_amt",
+        "price * sgst_rate / 100.0D as sgst_amt",
+        "price * igst_rate / 100.0D as igst_amt",
+        "0.0D as cess_amt",
+        "price * 1.18D as total_amount",
+        "if(k % 11 <> 0, concat('EWB', k), null) as ewb_number",
+        f"{_two_style_date('k', 'date_add(day, 1)')} as ewb_generated_date",
+        "state as place_of_supply",
+        "state as delivery_state",
+        """case when k % 29 = 0 then null when k % 13 = 0 then 'XYZ TRADING COMPANY' when k % 17 = 5 then upper(s_name)
+           when k % 19 = 7 then concat(s_name, ' Pvt Ltd') else s_name end as invoice_billing_name""",
+        "s_name as po_vendor_name",
     )
 
 
 def vendor_invoices(spark: SparkSession, base: str) -> DataFrame:
     """Nominally one per order: some orders have none, some have a differing second copy."""
-    k = F.col("o_orderkey")
-    copy = F.col("copy")
-    day = F.date_add(F.to_date("o_orderdate"), ((7 * k) % 45).cast("int"))
-    claimed = F.col("o_totalprice") * F.when(k % 200 == 0, 0.27).otherwise(0.18)
+    day = "date_add(to_date(o_orderdate), cast((7 * o_orderkey) % 45 as int))"
     return (
-        _read(spark, base, "orders")
-        .filter(k % 101 != 0)
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(k % 150 == 7, 1).otherwise(0))))
-        .select(
-            padded_id("PO", k + 1, 7).alias("po_id"),
-            _two_style_date(k, day).alias("invoice_date"),
-            F.when(k % 40 == 1, "INVDUP").otherwise(padded_id("INV", k + 1, 8)).alias("invoice_number"),
-            (F.col("o_totalprice") * 0.18).alias("gstr2b_itc_available"),
-            (claimed * (copy + 1)).alias("itc_claimed_by_buyer"),
+        read(spark, base, "orders")
+        .filter("o_orderkey % 101 <> 0")
+        .selectExpr("*", "explode(sequence(0, if(o_orderkey % 150 = 7, 1, 0))) as copy")
+        .selectExpr(
+            "format_string('PO%07d', o_orderkey + 1) as po_id",
+            f"{_two_style_date('o_orderkey', day)} as invoice_date",
+            "if(o_orderkey % 40 = 1, 'INVDUP', format_string('INV%08d', o_orderkey + 1)) as invoice_number",
+            "o_totalprice * 0.18D as gstr2b_itc_available",
+            "o_totalprice * if(o_orderkey % 200 = 0, 0.27D, 0.18D) * (copy + 1) as itc_claimed_by_buyer",
         )
     )
 
 
 def blacklist(spark: SparkSession, base: str) -> DataFrame:
     """Some registrations are listed twice."""
-    s = F.col("s_suppkey")
     return (
-        _read(spark, base, "supplier")
-        .filter((s + 1) % 20 == 4)
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.when((s + 1) % 40 == 4, 1).otherwise(0))))
-        .select(
-            _gstin(F.col("s_nationkey"), s).alias("gstin"),
-            F.date_add(F.lit("2023-04-01").cast("date"), F.col("copy")).alias("blacklist_date"),
-            F.lit("Fake GST Registration").alias("reason"),
-            F.concat(F.lit("CBIC-"), s.cast("string")).alias("case_reference"),
+        read(spark, base, "supplier")
+        .filter("(s_suppkey + 1) % 20 = 4")
+        .selectExpr("*", "explode(sequence(0, if((s_suppkey + 1) % 40 = 4, 1, 0))) as copy")
+        .selectExpr(
+            f"{_gstin('s_nationkey', 's_suppkey')} as gstin",
+            "date_add(date '2023-04-01', copy) as blacklist_date",
+            "'Fake GST Registration' as reason",
+            "concat('CBIC-', s_suppkey) as case_reference",
         )
     )
 
 
 def ground_truth(spark: SparkSession, base: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    code = (
-        F.when(k % 50 == 0, "GST-001").when(k % 50 == 1, "TAX-001").when(k % 50 == 2, "FRD-006").otherwise("CLEAN")
-    )
     return (
-        _read(spark, base, "orders")
-        .filter(k % 37 != 0)
-        .select(padded_id("PO", k + 1, 7).alias("po_id"), code.alias("anomaly_code"))
-        .select(
+        read(spark, base, "orders")
+        .filter("o_orderkey % 37 <> 0")
+        .selectExpr(
+            "format_string('PO%07d', o_orderkey + 1) as po_id",
+            """case o_orderkey % 50 when 0 then 'GST-001' when 1 then 'TAX-001' when 2 then 'FRD-006'
+               else 'CLEAN' end as anomaly_code""",
+        )
+        .selectExpr(
             "po_id",
             "anomaly_code",
-            F.when(F.col("anomaly_code") == "CLEAN", 0).otherwise(1).alias("is_anomalous"),
-            F.when(F.col("anomaly_code") == "CLEAN", "Low").otherwise("High").alias("severity"),
+            "if(anomaly_code = 'CLEAN', 0, 1) as is_anomalous",
+            "if(anomaly_code = 'CLEAN', 'Low', 'High') as severity",
         )
     )
 
@@ -218,21 +192,13 @@ def ground_truth(spark: SparkSession, base: str) -> DataFrame:
 def spend_history(spark: SparkSession, base: str) -> DataFrame:
     """Mean order value and order count per vendor and month, as older systems delivered it.
     Vendors whose key divides by nine have none."""
-    lines = (
-        _read(spark, base, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("k"))
-        .agg(F.min("l_suppkey").alias("s"))
-    )
-    orders = _read(spark, base, "orders").select(
-        F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("day"), "o_totalprice"
+    orders = read(spark, base, "orders").selectExpr(
+        "o_orderkey as k", "date_format(o_orderdate, 'yyyy-MM') as year_month", "o_totalprice * 1.18D as amount"
     )
     return (
-        orders.join(lines, "k")
-        .filter(F.col("s") % 9 != 0)
-        .groupBy("s", year_month(F.col("day")).alias("year_month"))
-        .agg(
-            (exact_sum(F.col("o_totalprice") * 1.18) / F.count("*")).alias("total_po_value"),
-            F.count("*").alias("po_count"),
-        )
-        .select(padded_id("V", F.col("s") + 1, 5).alias("vendor_id"), "year_month", "total_po_value", "po_count")
+        orders.join(_lines_per_order(spark, base).select("k", "s"), "k")
+        .filter("s % 9 <> 0")
+        .groupBy("s", "year_month")
+        .agg((exact_sum(F.col("amount")) / F.count("*")).alias("total_po_value"), F.count("*").alias("po_count"))
+        .selectExpr("format_string('V%05d', s + 1) as vendor_id", "year_month", "total_po_value", "po_count")
     )
