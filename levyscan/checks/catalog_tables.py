@@ -1,5 +1,7 @@
 """Queries for sources, sinks, projections, filters, nulls, joins and set operations."""
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -55,7 +57,7 @@ def _(t: Inputs):
 
 @check("snk3_save_table", "SELECT hsn_code, description, gst_rate FROM raw_rates")
 def _(t: Inputs):
-    name = files.save_table(t.raw.hsn_rate_schedule, "levyscan_rate_schedule")
+    name = files.save_table(t.raw.hsn_rate_schedule, f"rate_schedule_{uuid.uuid4().hex}")
     return files.read_table(t.spark, name).select("hsn_code", "description", "gst_rate")
 
 
