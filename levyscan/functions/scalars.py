@@ -1,7 +1,5 @@
 """Column-level helpers. All run inside the JVM and are safe under ANSI mode."""
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,9 +36,15 @@ def differs_ignoring_case(left: Column, right: Column) -> Column:
     return F.lower(left) != F.lower(right)
 
 
-def parse_date(text: Column, formats: Iterable[str] = DATE_FORMATS) -> Column:
-    """First format that parses wins; null when none does."""
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+def parse_date(text: Column) -> Column:
+    """Text with slashes as day first, other text as ISO; null when it does not parse.
+
+    The shape decides the format, so that no row pays for a failed parse of the other one.
+    """
+    slashed, dashed = DATE_FORMATS
+    return F.when(F.contains(text, F.lit("/")), F.try_to_date(text, slashed)).otherwise(
+        F.try_to_date(text, dashed)
+    )
 
 
 def year_month(day: Column) -> Column:
@@ -114,7 +118,8 @@ def remap_code(code: Column, mapping: dict[str, str] = CODE_REMAP) -> Column:
 
 def padded_id(prefix: str, number: Column, width: int) -> Column:
     """prefix + zero-padded number. A number wider than the pad is kept whole, not cut."""
-    return F.format_string(f"{prefix}%0{width}d", number.cast("bigint"))
+    digits = number.cast("bigint").cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))
 
 
 def hash_fraction(salt: str, *keys: Column) -> Column:

@@ -120,12 +120,16 @@ def lookup_join(
     identity: list[str],
     counts: DataFrame | None = None,
     null_safe: bool = False,
+    bound: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Left join to a table that is unique per key. It is broadcast when its row count
-    proves to be small; else both sides are shuffled with heavy keys spread."""
-    if is_small(right, broadcast_rows):
+    proves to be small; else both sides are shuffled with heavy keys spread.
+
+    `bound` may name a frame that has at least as many rows and is cheaper to count.
+    """
+    if is_small(right if bound is None else bound, broadcast_rows):
         return left_join_on(left, F.broadcast(right), keys, null_safe)
     known = key_counts(left, keys) if counts is None else counts
     return spread_left_join(left, right, keys, known, identity, null_safe, rows_per_salt)
@@ -155,11 +159,13 @@ def member_flag(
 ) -> DataFrame:
     """1 where the key is in the member table, else 0; repeats there do not add rows."""
     listed = members.select(*keys).distinct().withColumn(name, F.lit(1))
-    joined = lookup_join(df, listed, keys, identity, **options)
+    joined = lookup_join(df, listed, keys, identity, bound=members, **options)
     return joined.withColumn(name, F.coalesce(name, F.lit(0)))
 
 
-def attach_director_counts(df: DataFrame, vendor_pans: DataFrame, **options) -> DataFrame:
+def attach_director_counts(
+    df: DataFrame, vendor_pans: DataFrame, bound: DataFrame | None = None, **options
+) -> DataFrame:
     """Vendors per director PAN, joined to every row with that PAN; a missing PAN gets null.
 
     `vendor_pans` has one row per vendor: vendor_id and director_pan_1.
@@ -171,4 +177,5 @@ def attach_director_counts(df: DataFrame, vendor_pans: DataFrame, **options) ->
         .groupBy("director_pan_1")
         .agg(F.count("*").alias("director_vendor_count"))
     )
-    return lookup_join(df, per_pan, ["director_pan_1"], ["vendor_id"], **options)
+    limit = vendor_pans if bound is None else bound
+    return lookup_join(df, per_pan, ["director_pan_1"], ["vendor_id"], bound=limit, **options)

@@ -45,7 +45,7 @@ def invoice_per_order(invoices: DataFrame) -> DataFrame:
 def attach_vendor(orders: DataFrame, vendors: DataFrame, **options) -> DataFrame:
     """Vendor master on the vendor id."""
     side = one_per_key(prepare_vendor_side(vendors), ["vendor_id"])
-    return lookup_join(orders, side, ["vendor_id"], ["po_id"], **options)
+    return lookup_join(orders, side, ["vendor_id"], ["po_id"], bound=vendors, **options)
 
 
 def attach_invoice(orders: DataFrame, invoices: DataFrame) -> DataFrame:
@@ -56,14 +56,15 @@ def attach_rate(orders: DataFrame, rates: DataFrame, **options) -> DataFrame:
     schedule = one_per_key(
         rates.select("hsn_code", F.col("gst_rate").try_cast("double").alias("gst_rate")), ["hsn_code"]
     )
-    return lookup_join(orders, schedule, ["hsn_code"], ["po_id"], **options)
+    return lookup_join(orders, schedule, ["hsn_code"], ["po_id"], bound=rates, **options)
 
 
 def attach_history(
     orders: DataFrame, history: DataFrame, history_value_is: str = "average", **options
 ) -> DataFrame:
     """Spending history on vendor and month."""
-    return lookup_join(orders, merge_history(history, history_value_is), MONTH_KEYS, ["po_id"], **options)
+    merged = merge_history(history, history_value_is)
+    return lookup_join(orders, merged, MONTH_KEYS, ["po_id"], bound=history, **options)
 
 
 def attach_labels(orders: DataFrame, labels: DataFrame) -> DataFrame:
@@ -78,7 +79,8 @@ def vendor_month_profile(
     master = one_per_key(prepare_vendor_side(bronze.vendors), ["vendor_id"])
     ordering = master.join(frequency.select("vendor_id"), "vendor_id", "left_semi")
     listed = member_flag(ordering, bronze.cbic_blacklist, ["gstin"], "blacklisted", ["vendor_id"], **options)
-    vendors = attach_director_counts(listed, ordering.select("vendor_id", "director_pan_1"), **options)
+    pans = ordering.select("vendor_id", "director_pan_1")
+    vendors = attach_director_counts(listed, pans, bound=bronze.vendors, **options)
     # A vendor has at most one row per calendar month here, so these joins cannot skew.
     by_month = month_counts.select(*MONTH_KEYS).join(frequency, "vendor_id")
     with_vendor = by_month.join(vendors, "vendor_id", "left")

@@ -29,7 +29,11 @@ def read(spark: SparkSession, base: str, table: str) -> DataFrame:
 
 def _two_style_date(key: str, day: str) -> str:
     """Even keys dd/MM/yyyy, odd keys ISO."""
-    return f"date_format({day}, if({key} % 2 = 0, 'dd/MM/yyyy', 'yyyy-MM-dd'))"
+    return f"if({key} % 2 = 0, date_format({day}, 'dd/MM/yyyy'), cast({day} as string))"
+
+
+def _padded(prefix: str, number: str, width: int) -> str:
+    return f"concat('{prefix}', lpad({number}, greatest({width}, length({number})), '0'))"
 
 
 def _gstin(nation: str, key: str) -> str:
@@ -50,7 +54,7 @@ def vendors(spark: SparkSession, base: str) -> DataFrame:
 
     registered = "date_add(date '2012-01-01', cast((s_suppkey * 37) % 4000 as int))"
     return _with_state(read(spark, base, "supplier"), "s_nationkey").selectExpr(
-        "format_string('V%05d', s_suppkey + 1) as vendor_id",
+        f"{_padded('V', 's_suppkey + 1', 5)} as vendor_id",
         f"{_gstin('s_nationkey', 's_suppkey')} as gstin",
         "s_name as trade_name",
         "concat('Legal ', s_name) as legal_name",
@@ -111,9 +115,9 @@ def purchase_orders(spark: SparkSession, base: str) -> DataFrame:
         "if(k % 113 = 0, 18.0D, 0.0D) as igst_rate",
     )
     return rated.selectExpr(
-        "format_string('PO%07d', k + 1) as po_id",
+        f"{_padded('PO', 'k + 1', 7)} as po_id",
         "date_format(day, 'dd/MM/yyyy') as po_date",
-        "if(s is not null, format_string('V%05d', s + 1), null) as vendor_id",
+        f"if(s is not null, {_padded('V', 's + 1', 5)}, null) as vendor_id",
         f"{_gstin('nation', 'c')} as buyer_gstin",
         "if(k % 19 = 0, 'Karnataka', state) as buyer_state",
         "p_type as hsn_code",
@@ -147,9 +151,9 @@ def vendor_invoices(spark: SparkSession, base: str) -> DataFrame:
         .filter("o_orderkey % 101 <> 0")
         .selectExpr("*", "explode(sequence(0, if(o_orderkey % 150 = 7, 1, 0))) as copy")
         .selectExpr(
-            "format_string('PO%07d', o_orderkey + 1) as po_id",
+            f"{_padded('PO', 'o_orderkey + 1', 7)} as po_id",
             f"{_two_style_date('o_orderkey', day)} as invoice_date",
-            "if(o_orderkey % 40 = 1, 'INVDUP', format_string('INV%08d', o_orderkey + 1)) as invoice_number",
+            f"if(o_orderkey % 40 = 1, 'INVDUP', {_padded('INV', 'o_orderkey + 1', 8)}) as invoice_number",
             "o_totalprice * 0.18D as gstr2b_itc_available",
             "o_totalprice * if(o_orderkey % 200 = 0, 0.27D, 0.18D) * (copy + 1) as itc_claimed_by_buyer",
         )
@@ -176,7 +180,7 @@ def ground_truth(spark: SparkSession, base: str) -> DataFrame:
         read(spark, base, "orders")
         .filter("o_orderkey % 37 <> 0")
         .selectExpr(
-            "format_string('PO%07d', o_orderkey + 1) as po_id",
+            f"{_padded('PO', 'o_orderkey + 1', 7)} as po_id",
             """case o_orderkey % 50 when 0 then 'GST-001' when 1 then 'TAX-001' when 2 then 'FRD-006'
                else 'CLEAN' end as anomaly_code""",
         )
@@ -200,5 +204,5 @@ def spend_history(spark: SparkSession, base: str) -> DataFrame:
         .filter("s % 9 <> 0")
         .groupBy("s", "year_month")
         .agg((exact_sum(F.col("amount")) / F.count("*")).alias("total_po_value"), F.count("*").alias("po_count"))
-        .selectExpr("format_string('V%05d', s + 1) as vendor_id", "year_month", "total_po_value", "po_count")
+        .selectExpr(f"{_padded('V', 's + 1', 5)} as vendor_id", "year_month", "total_po_value", "po_count")
     )
