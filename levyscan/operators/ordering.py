@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from levyscan.functions.scalars import hash_fraction, hash_number
 from levyscan.sources.staging import stage
 
-TOP_K_LIMIT = 100_000
+TOP_K_LIMIT = 1_000  # each task sends up to this many rows to the one that merges them
 _PLACE = "_place"
 _PART_SHIFT = 33  # monotonically_increasing_id keeps the partition above bit 33
 

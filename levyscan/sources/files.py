@@ -25,24 +25,16 @@ def write_layer(df: DataFrame, base: str, table: str) -> str:
 
 
 def write_partitioned(
-    df: DataFrame,
-    path: str,
-    by: list[str],
-    spread_on: list[str],
-    files_per_value: int = 8,
-    max_records_per_file: int = 5_000_000,
+    df: DataFrame, path: str, *by: str, max_records_per_file: int = 5_000_000
 ) -> str:
     """Hive-partitioned Parquet.
 
-    Rows are grouped by the partition columns plus a bounded bucket of `spread_on`, so a
-    month gets at most `files_per_value` writer tasks (few files) and a month that holds a
-    large share of all rows is still written by many tasks and cut into bounded files.
+    Rows are rebalanced on the partition columns: small values share a task and give few
+    files, and adaptive execution cuts a value that holds a large share of all rows into
+    many tasks of the advisory size.
     """
-    from pyspark.sql import functions as F
-
-    bucket = F.pmod(F.xxhash64(*spread_on), F.lit(files_per_value))
     (
-        df.repartition(*by, bucket)
+        df.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*by)

@@ -91,6 +91,8 @@ def _lines_per_order(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _order_base(spark: SparkSession, base: str) -> DataFrame:
+    """Orders with their buyer, product and supplier. All are left joins to unique keys, so
+    adaptive execution may split the order side where a buyer or supplier is hot."""
     orders = read(spark, base, "orders").selectExpr(
         "o_orderkey as k", "o_custkey as c", "o_totalprice as price", "to_date(o_orderdate) as day"
     )
