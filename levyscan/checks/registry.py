@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from levyscan.checks.views import AS_OF, with_views
 from levyscan.functions.scalars import hash_number, mark_to_flag
-from levyscan.constants import FILING_QUARTERS
-from levyscan.operators.models import BOOSTED_NAME, FOREST_NAME, decide, prediction_table
+from levyscan.constants import BOOSTED_NAME, FILING_QUARTERS, FOREST_NAME
+from levyscan.operators.models import decide, prediction_table
 from levyscan.operators.setops import append_by_name
 from levyscan.plans import bronze, gold, silver
 from levyscan.sources import trade_tables

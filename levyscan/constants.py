@@ -86,6 +86,10 @@ LABEL_CUTS = [
 ]
 CLEAN_CODE = "CLEAN"
 
+# --- fixed values: model names as the score tables carry them ---------------------
+FOREST_NAME = "Random Forest"
+BOOSTED_NAME = "XGBoost"
+
 # --- fixed values: column lists ---------------------------------------------------
 FILING_QUARTERS = [f"filing_history_q{q}" for q in range(1, 7)]
 

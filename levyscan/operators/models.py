@@ -4,18 +4,23 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levyscan.constants import BOOSTED_THRESHOLD, FEATURES, LOWEST_BAND, SCORE_TIER_BANDS
+from levyscan.constants import (
+    BOOSTED_NAME,
+    BOOSTED_THRESHOLD,
+    FEATURES,
+    FOREST_NAME,
+    LOWEST_BAND,
+    SCORE_TIER_BANDS,
+)
 from levyscan.functions.scalars import band, flag, hash_fraction, hash_number
 from levyscan.operators.keyed import lookup_join, one_per_key
 from levyscan.operators.ordering import number_rows
 from levyscan.operators.projection import fill_features
 from levyscan.sources.staging import shared_folder, stage
 
-FOREST_NAME = "Random Forest"
-BOOSTED_NAME = "XGBoost"
 
 
 def feature_matrix(silver: DataFrame) -> DataFrame:
@@ -150,8 +155,6 @@ def prediction_table(scored: DataFrame, short: str, with_tier: bool = False) ->
 
 def feature_importance(model: PipelineModel, model_name: str, features: list[str] = FEATURES) -> DataFrame:
     """One row per feature: a table as long as the feature list."""
-    from pyspark.sql import SparkSession
-
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(model_name, name, float(w)) for name, w in zip(features, weights)]
     schema = "model_name string, feature_name string, importance_score double"
