@@ -119,3 +119,16 @@ def identify(
             )
 
     return docs.mapInArrow(identified, f"doc_id {kind}, lang_pred string, score double, margin double, accepted boolean")
+
+
+def identified_rows(docs: DataFrame, model: dict[str, bytes], text_col: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
+    """The rows of `docs`, all their columns, whose language is identified."""
+    known = tuple(sorted((lang, content.decode().lower().encode()) for lang, content in model.items()))
+    place = docs.columns.index(text_col)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, place, 1 << 23):
+            found = [decide(t, known) for t in batch.column(place).to_pylist()]
+            yield batch.filter(pa.array([lang != UNKNOWN and margin >= min_margin for lang, _, margin in found], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)

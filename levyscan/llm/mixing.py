@@ -55,31 +55,22 @@ def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, share: float =
     return out
 
 
-def mix(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    weights: tuple[int, ...] = WEIGHTS,
-    share: float = SHARE,
-    most: int = MOST_EPOCHS,
-    salt: str = "mix",
-) -> DataFrame:
-    """doc_id, source, size, source_size, target, epochs, taken for every row of `docs`.
-
-    `epochs` counts the whole passes, `taken` the words with repeats; the document in which a
-    source's budget ends is taken in part.
-    """
-    rows = only(docs, doc_id=id_col, text=text_col, source=source_col)
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(salt), F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")))), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
-    drawn = rows.select(
-        "doc_id",
-        "source",
-        F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"),
-        (-F.log(u) / text_quality(F.col("text"))).alias("key"),
-    ).withColumn("bucket", F.least(F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
-    drawn = stage(drawn, "drawn")
-
+def _draw(rows: DataFrame, salt: str) -> dict[str, Column]:
+    """Size, key and range of a row with doc_id and text."""
+    place = F.xxhash64(F.lit(salt), F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
+    u = (F.shiftrightunsigned(place, 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+    key = -F.log(u) / text_quality(F.col("text"))
+    return {
+        "size": F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long"),
+        "key": key,
+        "bucket": F.least(F.floor((F.lit(1.0) - F.exp(-key)) * BUCKETS), F.lit(BUCKETS - 1)).cast("int"),
+    }
+
+
+def _planned(rows: DataFrame, weights: tuple[int, ...], share: float, most: int, salt: str) -> tuple[DataFrame, DataFrame]:
+    """The drawn rows, written, and per source (at most MAX_SOURCES of them): size, target,
+    epochs, the budget behind them, and the range in which it ends."""
+    drawn = stage(rows.select("doc_id", "source", *[c.alias(n) for n, c in _draw(rows, salt).items()]), "drawn")
     per_bucket = stage(drawn.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "buckets")
     sizes = per_bucket.groupBy("source").agg(F.sum("words").alias("words")).limit(MAX_SOURCES + 1).collect()
     if len(sizes) > MAX_SOURCES:
@@ -89,10 +80,8 @@ def mix(
     for r in sizes:
         epochs = min(most, int(goal[r.source] // r.words)) if r.words else 0
         plan.append((r.source, r.words, goal[r.source], epochs, int(round(goal[r.source])) - epochs * r.words if r.words else 0))
-    spark = docs.sparkSession
-    plan_table = spark.createDataFrame(plan, "_source string, source_size long, target double, epochs long, budget long")
+    plan_table = rows.sparkSession.createDataFrame(plan, "_source string, source_size long, target double, epochs long, budget long")
 
-    # In which range each source's budget ends, and what its earlier ranges hold.
     so_far = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = per_bucket.withColumn("before", F.coalesce(F.sum("words").over(so_far), F.lit(0)))
     ends = (
@@ -101,13 +90,38 @@ def mix(
         .groupBy("source")
         .agg(F.min("bucket").alias("last"), F.min("before").alias("before"))
     )
-    marks = stage(plan_table.join(ends, F.col("_source").eqNullSafe(F.col("source")), "left").drop("source"), "marks")
-    # One row per source, at most MAX_SOURCES, so it may be broadcast.
+    marks = plan_table.join(ends, F.col("_source").eqNullSafe(F.col("source")), "left").drop("source")
+    return drawn, stage(marks, "marks")
+
+
+def _edges(drawn: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All drawn rows with their source's marks, and those in the range where a budget ends,
+    with what their source gives ahead of them."""
     planned = drawn.join(F.broadcast(marks), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     inner = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = planned.filter(F.col("bucket") == F.col("last")).withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(inner), F.lit(0)))
+    return planned, edge
+
+
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST_EPOCHS,
+    salt: str = "mix",
+) -> DataFrame:
+    """doc_id, source, size, source_size, target, epochs, taken for every row of `docs`.
+
+    `epochs` counts the whole passes, `taken` the words with repeats; the document in which a
+    source's budget ends is taken in part.
+    """
+    drawn, marks = _planned(only(docs, doc_id=id_col, text=text_col, source=source_col), weights, share, most, salt)
+    planned, edge = _edges(drawn, marks)
     part = F.greatest(F.least(F.col("size"), F.col("budget") - F.col("ahead")), F.lit(0))
-    whole = F.when(F.col("last").isNull() | (F.col("bucket") < F.col("last")), F.when(F.col("budget") > 0, F.col("size")).otherwise(0)).otherwise(0)
+    whole = F.when((F.col("budget") > 0) & (F.col("last").isNull() | (F.col("bucket") < F.col("last"))), F.col("size")).otherwise(0)
     rest = planned.filter(F.col("last").isNull() | (F.col("bucket") != F.col("last")))
 
     def taken(frame: DataFrame, extra: Column) -> DataFrame:
@@ -116,3 +130,35 @@ def mix(
         )
 
     return taken(rest, whole).unionByName(taken(edge, part))
+
+
+def mixed_rows(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST_EPOCHS,
+    salt: str = "mix",
+) -> DataFrame:
+    """The rows of `docs` as often as the mix takes them, whole: the document in which a
+    source's budget ends is in if at least half of it fits. The rows stay where they are; each
+    source's last key is all that travels to them."""
+    named = only(docs, doc_id=id_col, text=text_col, source=source_col)
+    drawn, marks = _planned(named, weights, share, most, salt)
+    _, edge = _edges(drawn, marks)
+    fits = edge.filter(F.col("ahead") + F.col("size") / 2 <= F.col("budget")).filter("budget > 0").groupBy("source").agg(F.max("key").alias("last_key"))
+    keyed = stage(
+        marks.join(fits, F.col("_source").eqNullSafe(F.col("source")), "left")
+        .select(F.col("_source").alias("__source"), F.col("epochs").alias("__epochs"), F.col("budget").alias("__budget"), F.col("last").alias("__last"), F.col("last_key").alias("__last_key")),
+        "last-keys",
+    )
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    inner = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{source_col}`").alias("source"), row)
+    made = _draw(inner, salt)
+    inner = inner.select("__row", "source", *[made[c].alias(c) for c in ("key", "bucket", "size")])
+    joined = inner.join(F.broadcast(keyed), F.col("source").eqNullSafe(F.col("__source")))
+    selected = (F.col("__budget") > 0) & (F.col("__last").isNull() | (F.col("bucket") < F.col("__last")) | ((F.col("bucket") == F.col("__last")) & (F.col("key") <= F.coalesce("__last_key", F.lit(-1.0)))))
+    copies = F.when(F.col("size") > 0, F.col("__epochs") + selected.cast("int")).otherwise(0).cast("int")
+    return joined.withColumn("__copies", copies).filter("__copies > 0").select("__row", F.explode(F.sequence(F.lit(1), "__copies")).alias("__copy")).select("__row.*")

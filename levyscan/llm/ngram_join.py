@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from levyscan.llm import shingles as sh
@@ -219,9 +220,8 @@ def _product_pairs(shared: DataFrame, roots: DataFrame, percent: int) -> DataFra
     return counts.filter(at_most >= _required(F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of `docs`."""
-    docs = only(docs, doc_id=id_col, text=text_col)
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, class, n, root) for every row: classes with one root are one component."""
     frequent = frequent_shingles(docs)
     described = stage(classes(docs, frequent, percent), "classes")
     shared = stage(_shared_columns(described), "shared")
@@ -229,12 +229,52 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     roots = connected_components(first)
     rest = _linked(docs, described, _product_pairs(shared, roots, percent), percent)
     roots = connected_components(first.unionByName(rest))
+    joined = described.select("doc_id", "class", "n").join(roots.withColumnRenamed("node", "class"), "class", "left")
+    return joined.withColumn("root", F.coalesce("root", "class"))
 
-    rooted = described.select("doc_id", "class", "n").join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "root", F.coalesce("root", "class")
-    )
-    named = rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of `docs`."""
+    grouped = _grouped(only(docs, doc_id=id_col, text=text_col), percent)
+    named = grouped.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))
     several = stage(named.filter("members > 1").drop("members"), "named")
-    return rooted.join(several, "root", "left").select(
+    return grouped.join(several, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs`, all their columns, with one document of each group: that with the
+    least doc_id. Documents without words stay. The texts are not shuffled: the rest is
+    dropped by id; rows whose id is null or not unique are told apart by their class."""
+    grouped = stage(_grouped(only(docs, doc_id=id_col, text=text_col), percent), "grouped")
+    winners = stage(grouped.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "class")).alias("w")), "winners")
+    odd = stage(grouped.groupBy("doc_id").count().filter("count > 1 or doc_id is null").select(F.col("doc_id").alias("__odd")), "odd-ids")
+    lost = grouped.join(winners, "root").filter(~(F.col("doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("class") == F.col("w.class"))))
+    lost = stage(lost.select(F.col("doc_id").alias("__lost")).filter("__lost is not null").distinct(), "lost-ids")
+    own = F.col(f"`{id_col}`")
+
+    def side(frame: DataFrame) -> DataFrame:
+        return F.broadcast(frame) if frame.count() <= 1_000_000 else frame
+
+    gone = side(stage(lost.select(F.col("__lost").alias("__gone")).unionByName(odd.filter("__odd is not null").select(F.col("__odd").alias("__gone"))).distinct(), "gone"))
+    plain = docs.filter(own.isNotNull()).join(gone, own == F.col("__gone"), "left_anti")
+    if not odd.limit(1).count():
+        return plain
+    place = docs.columns.index(text_col)
+
+    def with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, place):
+            numbers = pa.array([sh.set_number(s) if len(s) else None for s in sh.shingle_sets(batch.column(place))], pa.int64())
+            yield batch.append_column("__class", numbers)
+
+    doubtful = docs.join(side(odd), own.eqNullSafe(F.col("__odd")), "left_semi")
+    classed = doubtful.mapInArrow(with_class, _with_field(docs))
+    best = side(stage(winners.select(F.col("w.doc_id").alias("__id"), F.col("w.class").alias("__best")), "best"))
+    won = classed.join(best, own.eqNullSafe(F.col("__id")) & (F.col("__class") == F.col("__best")), "left_semi")
+    one = won.dropDuplicates([id_col, "__class"]).drop("__class")
+    return plain.unionByName(one).unionByName(classed.filter("__class is null").drop("__class"))
+
+
+def _with_field(docs: DataFrame) -> StructType:
+    return StructType([*docs.schema.fields, StructField("__class", LongType())])
