@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levyscan.llm import ann_partitions, html_consensus, language_id, mixing, ngram_join, packing, quality_mcd, secret_markov, toxicity
+from levyscan.llm import ann_partitions, html_consensus, language_id, mixing, ngram_join, packing, pii_surrogates, quality_mcd, secret_markov, toxicity
 from levyscan.llm.common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_pii_surrogates")
+def pseudonymous_documents(spark: SparkSession, base: str) -> DataFrame:
+    return pii_surrogates.pseudonymise(table(spark, base, "documents"), b"levyscan-surrogates")
+
+
 @query("op2_html_consensus")
 def page_texts(spark: SparkSession, base: str) -> DataFrame:
     return html_consensus.extract_pages(table(spark, base, "pages"))
