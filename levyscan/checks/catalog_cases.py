@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from levyscan.checks.registry import Inputs, check
 from levyscan.checks.views import hash_fraction, hash_number
-from levyscan.constants import CASE_COLUMNS, FEATURES, FLAG_PROMPT, LABEL_CUTS, METRIC_PROMPT
+from levyscan.constants import CASE_COLUMNS, FEATURES, FLAG_PROMPT, METRIC_PROMPT
 from levyscan.functions import scalars
 from levyscan.operators import casework, evaluation, expansion, models, ordering
 from levyscan.plans import gold
@@ -33,17 +33,30 @@ def _(t: Inputs):
     return models.with_exact_split(t.raw.ground_truth.select("po_id", "is_anomalous"))
 
 
+_fits: dict[tuple[str, str], tuple] = {}
+MAX_TRAINING_ROWS = 20_000  # labelled rows of a fit, those with the least hashes
+
+
+def _fit_once(t: Inputs):
+    """(train, test, forest, boosted) of a set of tables, fitted once per application."""
+    key = (t.spark.sparkContext.applicationId, t.base)
+    if key not in _fits:
+        rows = stage(models.with_split(models.feature_matrix(t.silver)), "features")
+        train = ordering.sample_rows(rows.filter("not is_test"), MAX_TRAINING_ROWS, "fit", "po_id")
+        _fits[key] = (train, rows.filter("is_test"), models.train_forest(train), models.train_boosted(train))
+    return _fits[key]
+
+
 def _train_and_test(t: Inputs):
-    rows = stage(models.with_split(models.feature_matrix(t.silver)), "features")
-    return rows.filter("not is_test"), rows.filter("is_test")
+    return _fit_once(t)[:2]
 
 
 def _forest(t: Inputs, train):
-    return models.train_forest(train, trees=20, depth=8)
+    return _fit_once(t)[2]
 
 
 def _boosted(t: Inputs, train):
-    return models.train_boosted(train, rounds=10)
+    return _fit_once(t)[3]
 
 
 @check("ml3_random_forest")
@@ -228,6 +241,10 @@ def _responses(t: Inputs):
         F.when(k % 10 == 1, "I cannot judge this record.")
         .when(k % 10 == 2, F.concat(F.lit("{ broken "), "po_id", F.lit(" }")))
         .when(k % 10 == 3, F.concat(F.lit("Here is the result:\n"), body, F.lit("\nDone.")))
+        .when(k % 10 == 4, F.concat(body, F.lit(" and "), body))
+        .when(k % 10 == 5, F.concat(F.lit("{'risk_level':'High','reasoning':'"), "po_id", F.lit("'}")))
+        .when(k % 10 == 6, F.concat(body, F.lit(" trailing }")))
+        .when(k % 10 == 7, F.concat(body, F.lit(","), body))
         .otherwise(body)
     )
     return t.orders.select("po_id", text.alias("response"))
@@ -235,7 +252,11 @@ def _responses(t: Inputs):
 
 _RESPONSES = r"""(SELECT po_id, CASE WHEN quantity % 10 = 1 THEN 'I cannot judge this record.'
         WHEN quantity % 10 = 2 THEN '{ broken ' || po_id || ' }'
-        WHEN quantity % 10 = 3 THEN 'Here is the result:' || chr(10) || body || chr(10) || 'Done.' ELSE body END AS response
+        WHEN quantity % 10 = 3 THEN 'Here is the result:' || chr(10) || body || chr(10) || 'Done.'
+        WHEN quantity % 10 = 4 THEN body || ' and ' || body
+        WHEN quantity % 10 = 5 THEN '{''risk_level'':''High'',''reasoning'':''' || po_id || '''}'
+        WHEN quantity % 10 = 6 THEN body || ' trailing }'
+        WHEN quantity % 10 = 7 THEN body || ',' || body ELSE body END AS response
     FROM (SELECT po_id, quantity, '{' || chr(10) || '"risk_level":"' || CASE WHEN quantity % 3 = 0 THEN 'High' ELSE 'Low' END
         || '",' || chr(10) || '"anomaly_types_detected":["GST Risk", "' || hsn_code || '"],' || chr(10) || '"reasoning":"checked ' || po_id
         || '","recommended_action":"Manual audit required.","confidence_score":'
@@ -336,30 +357,6 @@ def _(t: Inputs):
     return orders
 
 
-@check(
-    "xp4_share_attribute",
-    f"""WITH picked AS (SELECT vendor_id FROM raw_vendors ORDER BY {hash_number('circle', 'vendor_id')}, vendor_id LIMIT 40),
-             grouped AS (SELECT vendor_id, (row_number() OVER (ORDER BY vendor_id) - 1) // 4 AS g FROM picked)
-        SELECT v.vendor_id, CASE WHEN g IS NULL THEN director_pan_1 ELSE printf('AAAAA%06d', g) END AS director_pan_1,
-               CASE WHEN g IS NULL THEN director_pan_2 ELSE printf('BBBBB%06d', g) END AS director_pan_2
-        FROM raw_vendors v LEFT JOIN grouped USING (vendor_id)""",
-)
-def _(t: Inputs):
-    vendors = t.raw.vendors.select("vendor_id", "director_pan_1", "director_pan_2")
-    return expansion.share_attribute(vendors, "vendor_id", 40, 4, {"director_pan_1": "AAAAA", "director_pan_2": "BBBBB"}, "circle")
-
-
-@check(
-    "xp5_split_rows",
-    f"""SELECT po_id, vendor_id, base_amount, total_amount FROM raw_orders
-        UNION ALL SELECT po_id || tag, vendor_id, 30000.0::DOUBLE, 35400.0::DOUBLE
-        FROM (SELECT * FROM raw_orders ORDER BY {hash_number('split', 'po_id')}, po_id LIMIT 240), (VALUES ('_A'), ('_B')) x(tag)""",
-)
-def _(t: Inputs):
-    orders = t.raw.purchase_orders.select("po_id", "vendor_id", "base_amount", "total_amount")
-    return expansion.split_rows(orders, 240, ["_A", "_B"], {"base_amount": 30000.0, "total_amount": 35400.0}, "split", "po_id")
-
-
 @check(
     "xp6_duplicate_rows",
     f"SELECT po_id, anomaly_code FROM raw_labels UNION ALL (SELECT po_id, anomaly_code FROM raw_labels ORDER BY {hash_number('twice', 'po_id')}, po_id LIMIT 100)",
@@ -368,14 +365,3 @@ def _(t: Inputs):
     return expansion.duplicate_rows(t.raw.ground_truth.select("po_id", "anomaly_code"), 100, "twice", "po_id")
 
 
-_LADDER = " ".join(f"WHEN r < {cut} THEN '{code}'" for cut, code in LABEL_CUTS)
-
-
-@check(
-    "xp7_band_label",
-    f"""SELECT po_id, anomaly_code, CASE WHEN anomaly_code <> 'CLEAN' THEN 1 ELSE 0 END AS is_anomalous,
-               CASE WHEN anomaly_code = 'CLEAN' THEN 'Low' ELSE 'High' END AS severity
-        FROM (SELECT po_id, CASE {_LADDER} ELSE 'CLEAN' END AS anomaly_code FROM (SELECT po_id, {hash_fraction('label', 'po_id')} AS r FROM raw_orders))""",
-)
-def _(t: Inputs):
-    return expansion.band_label(t.raw.purchase_orders.select("po_id"), "po_id", "label")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from levyscan.checks.registry import Inputs, check
 from levyscan.checks.views import AS_OF, date_of, exact_avg, exact_sum, hash_fraction, hash_number, mark_flag, round2
-from levyscan.constants import FILING_QUARTERS, GSTIN_PATTERN, LABEL_CUTS, RULE_FLAGS
+from levyscan.constants import FILING_QUARTERS, GSTIN_PATTERN, RULE_FLAGS
 from levyscan.functions import scalars
 from levyscan.functions.similarity import name_similarity, name_similarity_builtin
 from levyscan.operators import aggregates, keyed, ordering, rules
@@ -147,7 +147,7 @@ def _(t: Inputs):
     return ordering.number_rows(t.raw.vendors.select("vendor_id"), ["vendor_id"], "rn")
 
 
-@check("wn6_fixed_clusters", "SELECT vendor_id, ((row_number() OVER (ORDER BY vendor_id) - 1) // 4)::INTEGER AS cluster_id FROM raw_vendors")
+@check("wn6_fixed_clusters", "SELECT vendor_id, ((row_number() OVER (ORDER BY vendor_id) - 1) // 4) AS cluster_id FROM raw_vendors")
 def _(t: Inputs):
     return ordering.fixed_size_clusters(t.raw.vendors.select("vendor_id"), ["vendor_id"], 4, "cluster_id")
 
@@ -176,7 +176,7 @@ def _(t: Inputs):
 
 @check(
     "st4_rank_within",
-    """SELECT risk_tier, vendor_id, row_number() OVER (PARTITION BY risk_tier ORDER BY total_po_value DESC, vendor_id)::INTEGER AS place FROM vendor_risk""",
+    """SELECT risk_tier, vendor_id, row_number() OVER (PARTITION BY risk_tier ORDER BY total_po_value DESC, vendor_id) AS place FROM vendor_risk""",
 )
 def _(t: Inputs):
     ranked = ordering.rank_within(t.risk, "risk_tier", [F.desc("total_po_value"), F.col("vendor_id")], "place")

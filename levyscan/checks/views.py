@@ -36,11 +36,11 @@ def mark_flag(text: str) -> str:
 
 def hash_number(salt: str, *keys: str) -> str:
     text = " || '|' || ".join([f"'{salt}'", *[f"{k}::VARCHAR" for k in keys]])
-    return f"('0x' || substr(md5({text}), 1, 8))::BIGINT"
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
 
 
 def hash_fraction(salt: str, *keys: str) -> str:
-    return f"({hash_number(salt, *keys)} / 4294967296.0::DOUBLE)"
+    return f"({hash_number(salt, *keys)} / 1152921504606846976.0::DOUBLE)"
 
 
 def exact_sum(value: str, scale: int = 6) -> str:
@@ -52,7 +52,7 @@ def exact_avg(value: str, scale: int = 12) -> str:
 
 
 def round2(value: str) -> str:
-    return f"round(({value})::DECIMAL(28,6), 2)::DOUBLE"
+    return f"round((({value})::DOUBLE)::VARCHAR::DECIMAL(38,18), 2)::DOUBLE"
 
 
 def columns_of(prefix: str, names: list[str]) -> str:
@@ -160,7 +160,7 @@ VIEWS = {
         FROM vendor_flags""",
     "invoice_one": f"""
         SELECT po_id, {date_of('invoice_date')} AS invoice_date, invoice_number, gstr2b_itc_available, itc_claimed_by_buyer
-        FROM (SELECT *, row_number() OVER (PARTITION BY po_id ORDER BY invoice_date, invoice_number, gstr2b_itc_available, itc_claimed_by_buyer) AS rn
+        FROM (SELECT *, row_number() OVER (PARTITION BY po_id ORDER BY {date_of('invoice_date')}, invoice_number, gstr2b_itc_available, itc_claimed_by_buyer) AS rn
               FROM raw_invoices) WHERE rn = 1""",
     "history_one": f"""
         SELECT vendor_id, year_month, {exact_avg('total_po_value', 6)} AS total_po_value, avg(po_count) AS po_count

@@ -68,22 +68,6 @@ VENDOR_TIER_BANDS = [(0.20, "Critical"), (0.10, "High"), (0.05, "Medium")]
 SCORE_TIER_BANDS = [(0.85, "Critical"), (0.70, "High"), (0.50, "Medium")]
 LOWEST_BAND = "Low"
 
-# --- fixed values: label shares as cumulative cut points --------------------------
-LABEL_CUTS = [
-    (0.006, "GST-001"),
-    (0.012, "GST-003"),
-    (0.015, "GST-004"),
-    (0.017, "GST-005"),
-    (0.025, "ITC-001"),
-    (0.030, "ITC-002"),
-    (0.037, "TAX-001"),
-    (0.041, "TAX-002"),
-    (0.051, "EWB-001"),
-    (0.055, "EWB-002"),
-    (0.057, "FRD-002"),
-    (0.0585, "FRD-003"),
-    (0.060, "FRD-004"),
-]
 CLEAN_CODE = "CLEAN"
 
 # --- fixed values: model names as the score tables carry them ---------------------

@@ -66,8 +66,8 @@ def whole_number(value: Column) -> Column:
 
 
 def round_half_up(value: Column, places: int = 2) -> Column:
-    """Decimal rounding, so that the result does not hang on binary noise in a double."""
-    return F.round(value.try_cast("decimal(28,6)"), places).cast("double")
+    """Rounds once, by the decimal digits that the double prints as, halves away from zero."""
+    return F.round(value.cast("double"), places)
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
@@ -124,13 +124,13 @@ def padded_id(prefix: str, number: Column, width: int) -> Column:
 
 def hash_fraction(salt: str, *keys: Column) -> Column:
     """Repeatable uniform value in [0, 1) from a key; each use takes its own salt."""
-    return hash_number(salt, *keys) / F.lit(4294967296.0)
+    return hash_number(salt, *keys) / F.lit(float(1 << 60))
 
 
 def hash_number(salt: str, *keys: Column) -> Column:
-    """Repeatable integer in [0, 2^32) from a key."""
+    """Repeatable integer in [0, 2^60) from a key."""
     text = F.concat_ws("|", F.lit(salt), *[k.cast("string") for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def plain_number_text(value: Column) -> Column:

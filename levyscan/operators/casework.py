@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from levyscan.constants import CASE_COLUMNS, SUSPICIOUS_BELOW
 from levyscan.functions.scalars import plain_number_text
 from levyscan.operators.keyed import lookup_join, one_per_key
+from levyscan.sources.staging import stage
 
 RESPONSE_FIELDS = [
     "risk_level",
@@ -23,13 +24,14 @@ RESPONSE_FIELDS = [
 
 
 def attach_vendor_risk(flags: DataFrame, risk: DataFrame) -> DataFrame:
-    """Tier, anomaly rate and compliance of the vendor; one risk row per vendor is used."""
+    """Tier, anomaly rate and compliance of the vendor. Of several risk rows the one with the
+    highest rate is used. The side is written once, as it is counted and then joined."""
     side = one_per_key(
         risk.select("vendor_id", "risk_tier", "anomaly_rate", "filing_compliance_rate"),
         ["vendor_id"],
-        prefer=["risk_tier"],
+        prefer=[-F.col("anomaly_rate")],
     )
-    return lookup_join(flags, side, ["vendor_id"], ["po_id"])
+    return lookup_join(flags, stage(side, "vendor-risk"), ["vendor_id"], ["po_id"])
 
 
 def case_table(flags: DataFrame, risk: DataFrame) -> DataFrame:
@@ -86,10 +88,13 @@ def with_parsed_response(df: DataFrame, response: str = "response") -> DataFrame
     """Adds `is_parsed` and the five fields read from the text between the first { and the
     last }. Text without such a span, or with broken JSON in it, is not parsed."""
     span = F.regexp_extract(response, r"(?s)\{.*\}", 0)
-    schema = ", ".join(f"{f} string" for f in [*RESPONSE_FIELDS, "_broken"])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    parsed = df.withColumn("_json", F.from_json(F.when(F.length(span) > 0, span), schema, options))
-    ok = F.col("_json").isNotNull() & F.col("_json._broken").isNull()
+    fields = ", ".join(f"{f}: string" for f in RESPONSE_FIELDS)
+    # As the only element of a list, text behind the object or a second object is an error.
+    listed = F.concat(F.lit("["), F.when(F.length(span) > 0, span), F.lit("]"))
+    items = F.from_json(listed, f"array<struct<{fields}>>", {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
+    parsed = df.withColumn("_items", items)
+    ok = F.coalesce(F.size("_items") == 1, F.lit(False)) & F.get("_items", F.lit(0)).isNotNull()
+    parsed = parsed.withColumn("_json", F.get("_items", F.lit(0)))
     return parsed.select(
         *df.columns,
         ok.alias("is_parsed"),

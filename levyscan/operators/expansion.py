@@ -7,11 +7,10 @@ not depend on the partition layout, and two uses with different salts are indepe
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from levyscan.constants import CLEAN_CODE, LABEL_CUTS
-from levyscan.functions.scalars import band_below, flag, hash_fraction, hash_number, padded_id
+from levyscan.functions.scalars import hash_fraction, hash_number, padded_id
 from levyscan.operators.keyed import lookup_join
-from levyscan.operators.ordering import fixed_size_clusters, number_rows, sample_rows
-from levyscan.operators.setops import append_by_name, append_by_position, replace_rows
+from levyscan.operators.ordering import number_rows, sample_rows
+from levyscan.operators.setops import append_by_position
 
 
 def repeat_rows(df: DataFrame, times: int, name: str = "copy") -> DataFrame:
@@ -24,20 +23,17 @@ def expand_rows(
 ) -> DataFrame:
     """Repeat the table until it has `target` rows and give every row a new id.
 
-    Row i of n gets the numbers i, i+n, i+2n, ...; those above the target are left out, so
-    neither a limit nor a second numbering is needed.
+    Row i of n gets the numbers i, i+n, i+2n, ...; those above the target are left out. The
+    output starts from the numbers 1 to `target`, dealt over many tasks, and looks its rows up.
     """
     numbered = number_rows(df, order, "_nth")
     n = numbered.count()
-    times = -(-target // n) if n else 1
-    new_number = F.col("_copy") * F.lit(n) + F.col("_nth")
-    return (
-        repeat_rows(numbered, times, "_copy")
-        .withColumn("_new", new_number)
-        .filter(F.col("_new") <= target)
-        .withColumn(id_column, padded_id(prefix, F.col("_new"), width))
-        .drop("_nth", "_copy", "_new")
-    )
+    if not n:
+        return numbered.drop("_nth")
+    numbers = df.sparkSession.range(1, target + 1).withColumnRenamed("id", "_new")
+    placed = numbers.withColumn("_nth", F.pmod(F.col("_new") - 1, F.lit(n)) + 1)
+    grown = lookup_join(placed, numbered, ["_nth"], ["_new"])
+    return grown.withColumn(id_column, padded_id(prefix, F.col("_new"), width)).select(*df.columns)
 
 
 def assign_key(
@@ -67,41 +63,8 @@ def perturb(
     return df.withColumn(column, F.when(hit, change).otherwise(F.col(column)))
 
 
-def share_attribute(
-    df: DataFrame, key: str, n: int, size: int, values: dict[str, str], salt: str
-) -> DataFrame:
-    """Pick n rows, cut them into clusters of `size`, and give each cluster common values.
-    `values` maps a column to the prefix of the shared value."""
-    chosen = fixed_size_clusters(sample_rows(df, n, salt, key), [key], size, "_cluster")
-    rewritten = chosen.withColumns(
-        {c: padded_id(prefix, F.col("_cluster"), 6) for c, prefix in values.items()}
-    ).drop("_cluster")
-    return replace_rows(df, rewritten, [key])
-
-
-def split_rows(
-    df: DataFrame, n: int, tags: list[str], amounts: dict[str, float], salt: str, key: str
-) -> DataFrame:
-    """Append tagged copies of n rows with fixed amounts; the originals stay."""
-    fixed = sample_rows(df, n, salt, key).withColumns({c: F.lit(v) for c, v in amounts.items()})
-    tagged = fixed.withColumn("_tag", F.explode(F.array(*[F.lit(t) for t in tags])))
-    copies = tagged.withColumn(key, F.concat(key, "_tag")).select(*df.columns)
-    return append_by_name(df, copies)
-
-
 def duplicate_rows(df: DataFrame, n: int, salt: str, key: str) -> DataFrame:
     """Append exact copies of n rows."""
     return append_by_position(df, sample_rows(df, n, salt, key))
 
 
-def band_label(df: DataFrame, key: str, salt: str, cuts: list[tuple[float, str]] = LABEL_CUTS) -> DataFrame:
-    """Draw a label per row from cumulative shares, with its flag and severity."""
-    code = F.col("anomaly_code")
-    return df.withColumn(
-        "anomaly_code", band_below(hash_fraction(salt, F.col(key)), cuts, CLEAN_CODE)
-    ).withColumns(
-        {
-            "is_anomalous": flag(code != CLEAN_CODE),
-            "severity": F.when(code == CLEAN_CODE, "Low").otherwise("High"),
-        }
-    )

@@ -9,8 +9,8 @@ task. Lookups and counts here never do that:
   grows with the rows of the key, so one slice has about ``ROWS_PER_SALT`` rows whatever
   the size of the table. The salt is a hash of a row identity, so a retried task gives the
   same slices;
-* the list of heavy keys is the top ``MAX_HEAVY_KEYS`` by count. That bound is what makes
-  it safe to broadcast; a key beyond it holds less than 1/MAX_HEAVY_KEYS of the rows.
+* every key above ``ROWS_PER_SALT`` rows is on the list of heavy keys, which so has at most
+  rows / ``ROWS_PER_SALT`` entries. It is broadcast if its count proves to be small.
 """
 
 from functools import reduce
@@ -21,23 +21,26 @@ from pyspark.sql import functions as F
 from levyscan.sources.staging import stage
 
 ROWS_PER_SALT = 1_000_000
-MAX_HEAVY_KEYS = 10_000
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
+TEXT_BYTES = 48  # estimate for a text column
 
 _SALT = "_salt"
 _SALTS = "_salts"
 
 
-def one_per_key(df: DataFrame, keys: list[str], prefer: list[str] | None = None) -> DataFrame:
+def one_per_key(df: DataFrame, keys: list[str], prefer: list[str | Column] | None = None) -> DataFrame:
     """One row per key: the least by `prefer`, then by all other columns, so that the
-    survivor does not hang on partition order. Copies collapse before the shuffle."""
+    survivor does not hang on partition order. A missing value comes after any other. Copies
+    collapse before the shuffle."""
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    first = prefer or []
-    order = [*first, *[c for c in rest if c not in first]]
-    least = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_row"))
-    return least.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
+    first = [F.col(c) if isinstance(c, str) else c for c in prefer or []]
+    order = [F.struct(c.isNull().alias("gap"), c.alias("value")) for c in [*first, *[F.col(f"`{c}`") for c in rest]]]
+    least = df.groupBy(*keys).agg(F.min(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)])).alias("_row"))
+    place = {c: f"_row.c{len(first) + i}.value" for i, c in enumerate(rest)}
+    return least.select(*[F.col(c) if c in keys else F.col(place[c]).alias(c) for c in df.columns])
 
 
 def key_counts(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
@@ -50,8 +53,15 @@ def repeated_keys(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """A plain count: partial counts per task, and file footers alone for a stored table."""
-    return df.count() <= max_rows
+    """Few rows, and few bytes by the width of the columns. A plain count: partial counts per
+    task, and file footers alone for a stored table."""
+    return df.count() <= min(max_rows, BROADCAST_BYTES // row_bytes(df))
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Estimated width of a row: numbers and dates by eight bytes, anything else as a text."""
+    plain = ("int", "bigint", "double", "float", "boolean", "date", "timestamp", "smallint", "tinyint")
+    return 8 + sum(8 if kind in plain else TEXT_BYTES for _, kind in df.dtypes)
 
 
 def _on(keys: list[str], null_safe: bool) -> list[Column]:
@@ -76,8 +86,6 @@ def heavy_keys(
     """Keys that need more than one slice, with their number of slices."""
     return (
         counts.filter(F.col(name) > rows_per_salt)
-        .orderBy(F.desc(name), *keys)
-        .limit(MAX_HEAVY_KEYS)
         .select(*keys, F.ceil(F.col(name) / rows_per_salt).cast("int").alias(_SALTS))
     )
 
@@ -100,7 +108,7 @@ def spread_left_join(
     heavy = stage(heavy_keys(counts, keys, "n", rows_per_salt), "heavy")
     if heavy.isEmpty():
         return left_join_on(left, right, keys, null_safe)
-    heavy = F.broadcast(heavy)
+    heavy = F.broadcast(heavy) if is_small(heavy) else heavy
     salts = F.coalesce(F.col(_SALTS), F.lit(1))
     sliced = left_join_on(left, heavy, keys, null_safe=True).withColumn(
         _SALT, F.when(salts > 1, F.pmod(F.xxhash64(*identity), salts).cast("int")).otherwise(0)

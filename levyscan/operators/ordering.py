@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from levyscan.functions.scalars import hash_fraction, hash_number
+from levyscan.operators.keyed import lookup_join
 from levyscan.sources.staging import stage
 
-TOP_K_LIMIT = 1_000  # each task sends up to this many rows to the one that merges them
 _PLACE = "_place"
 _PART_SHIFT = 33  # monotonically_increasing_id keeps the partition above bit 33
 
@@ -32,8 +32,12 @@ def ordered_counts(df: DataFrame, column: str, by_value: bool = False) -> DataFr
 
 
 def rank_within(df: DataFrame, group: str, order: list[Column], name: str) -> DataFrame:
-    """Rank inside small groups, such as the features of one model."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    """1, 2, 3, ... inside each group, however large: the place in the whole table, ordered by
+    group first, less that of the group's first row."""
+    numbered = number_rows(df, [F.col(group), *order], "_nth")
+    firsts = numbered.groupBy(group).agg(F.min("_nth").alias("_first"))
+    joined = lookup_join(numbered, firsts, [group], ["_nth"], null_safe=True)
+    return joined.withColumn(name, F.col("_nth") - F.col("_first") + 1).drop("_nth", "_first")
 
 
 def sample_fraction(df: DataFrame, fraction: float, salt: str, *keys: str) -> DataFrame:
@@ -44,8 +48,6 @@ def sample_fraction(df: DataFrame, fraction: float, salt: str, *keys: str) -> Da
 def sample_rows(df: DataFrame, n: int, salt: str, *keys: str) -> DataFrame:
     """Exactly n rows (or all, if fewer), chosen by hash order."""
     ordered = df.withColumn("_hash", hash_number(salt, *[F.col(k) for k in keys]))
-    if n <= TOP_K_LIMIT:
-        return top_k(ordered, n, "_hash", *keys).drop("_hash")
     return number_rows(ordered, ["_hash", *keys], "_nth").filter(F.col("_nth") <= n).drop("_hash", "_nth")
 
 
@@ -102,4 +104,4 @@ def running_totals(df: DataFrame, order: list[str | Column], sums: dict[str, str
 def fixed_size_clusters(df: DataFrame, order: list[str | Column], size: int, name: str) -> DataFrame:
     """Cluster numbers 0, 1, ... of `size` neighbours each in the given order."""
     numbered = number_rows(df, order, "_nth")
-    return numbered.withColumn(name, F.floor((F.col("_nth") - 1) / size).cast("int")).drop("_nth")
+    return numbered.withColumn(name, F.expr(f"(_nth - 1) div {size}")).drop("_nth")

@@ -37,9 +37,9 @@ MONTH_KEYS = ["vendor_id", "year_month"]
 
 
 def invoice_per_order(invoices: DataFrame) -> DataFrame:
-    """One invoice per order, with a real date."""
-    kept = one_per_key(invoices.drop("ingestion_timestamp"), ["po_id"])
-    return kept.withColumn("invoice_date", parse_date(F.col("invoice_date")))
+    """One invoice per order: the earliest by its real date, one without a date last."""
+    dated = invoices.drop("ingestion_timestamp").withColumn("invoice_date", parse_date(F.col("invoice_date")))
+    return one_per_key(dated, ["po_id"], prefer=["invoice_date"])
 
 
 def attach_vendor(orders: DataFrame, vendors: DataFrame, **options) -> DataFrame:
@@ -68,7 +68,9 @@ def attach_history(
 
 
 def attach_labels(orders: DataFrame, labels: DataFrame) -> DataFrame:
-    return orders.join(one_per_key(bind_labels(labels), ["po_id"]), "po_id", "left")
+    """One label per order; where it has several, one that names an anomaly wins over CLEAN."""
+    one = one_per_key(bind_labels(labels), ["po_id"], prefer=[-F.col("is_anomalous"), "anomaly_code"])
+    return orders.join(one, "po_id", "left")
 
 
 def vendor_month_profile(

@@ -2,33 +2,40 @@
 
 A few operators need one physical layout to be read more than once. They write it as
 Parquet under the folder named by ``spark.checkpoint.dir``, which every executor can
-reach, so a lost executor costs a re-read and never changes the result.
+reach, so a lost executor costs a re-read and never changes the result. Where that setting is
+missing, the folder is ``_staged`` under the session's warehouse. Each run of an application
+has a subfolder of its own, which `drop_staged` removes.
 """
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+_seen: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="levyscan-")
-        context.setCheckpointDir(_local_roots[app])
-    return _local_roots[app]
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(f"{root}/checkpoints")
+    return root.rstrip("/")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder; what it holds goes when a local session's program ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _seen:
+        _seen.add(app)
+        if spark.sparkContext.master.startswith("local["):
+            atexit.register(_drop_quietly, spark)
+    return f"{shared_folder(spark)}/levyscan/{app}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/levyscan/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -37,3 +44,14 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove all that this run has written. Frames that read it can be used no longer."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _drop_quietly(spark: SparkSession) -> None:
+    if spark._jsc is not None and spark.sparkContext._jsc is not None:
+        drop_staged(spark)

@@ -62,13 +62,6 @@ def test_assign_key_spreads_over_all_keys(spark):
     assert all(130 < r["count"] < 270 for r in counts)
 
 
-def test_split_rows_keeps_originals(spark):
-    orders = spark.range(50).selectExpr("concat('P', id) as po_id", "1.0D as total_amount")
-    got = expansion.split_rows(orders, 5, ["_A", "_B"], {"total_amount": 9.0}, "s", "po_id")
-    assert got.count() == 60
-    assert got.filter("total_amount = 9.0 and po_id rlike '_[AB]$'").count() == 10
-
-
 def test_merge_first_wins(spark):
     a = spark.createDataFrame([("g1", "listed")], "gstin string, reason string")
     b = spark.createDataFrame([("g1", "drawn"), ("g2", "drawn")], "gstin string, reason string")

@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as contract
 import compare
+from levyscan.checks import ORACLES, QUERIES
 from conftest import SMALL
 
 # One or two of each group; compare.py runs all of them.
@@ -27,15 +28,14 @@ SAMPLE = [
     "ml12_comparison",
     "ai3_metric_prompt",
     "ai4_parse_responses",
-    "xp4_share_attribute",
-    "xp7_band_label",
+    "xp6_duplicate_rows",
 ]
 
 ROWS_ONLY = {"ml3_random_forest", "ml4_boosted_trees", "ml13_feature_importance", "ml14_save_and_load"}
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
 
 
 @pytest.mark.parametrize("name", SAMPLE)

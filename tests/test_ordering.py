@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from levyscan.functions.scalars import hash_number
 from levyscan.operators import ordering
 
 
@@ -37,11 +38,11 @@ def test_running_totals(spark, rows):
     assert got.select("id", "total").exceptAll(want.select("id", "total")).isEmpty()
 
 
-def test_sample_rows_is_exact_on_both_ways(spark, rows, monkeypatch):
-    small = {r.id for r in ordering.sample_rows(rows, 40, "s", "id").collect()}
-    monkeypatch.setattr(ordering, "TOP_K_LIMIT", 10)
-    large = {r.id for r in ordering.sample_rows(rows, 40, "s", "id").collect()}
-    assert small == large and len(small) == 40
+def test_sample_rows_is_exact_at_any_size(spark, rows):
+    hashed = rows.withColumn("h", hash_number("s", F.col("id")))
+    for n in (40, 999, 1001, 4000):
+        want = {r.id for r in hashed.orderBy("h", "id").limit(n).collect()}
+        assert {r.id for r in ordering.sample_rows(rows, n, "s", "id").collect()} == want
     assert ordering.sample_rows(rows, 9000, "s", "id").count() == 5000
 
 
