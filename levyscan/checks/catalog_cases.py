@@ -43,7 +43,7 @@ def _fit_once(t: Inputs):
     if key not in _fits:
         rows = stage(models.with_split(models.feature_matrix(t.silver)), "features")
         train = ordering.sample_rows(rows.filter("not is_test"), MAX_TRAINING_ROWS, "fit", "po_id")
-        _fits[key] = (train, rows.filter("is_test"), models.train_forest(train), models.train_boosted(train))
+        _fits[key] = (train, rows.filter("is_test"), models.train_forest(train, trees=20, depth=8), models.train_boosted(train, rounds=10))
     return _fits[key]
 
 
