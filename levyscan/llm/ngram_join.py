@@ -42,10 +42,11 @@ from levyscan.llm.common import only, restrict, slices, stage
 from levyscan.llm.components import connected_components
 
 PERCENT = 75
-ORDERED_SHINGLES = 200_000  # length of the list of frequent shingles, a bounded table
-FREQUENT_FROM = 16
+ORDERED_SHINGLES = 500_000  # length of the list of frequent shingles, a bounded table
+FREQUENT_FROM = 6
 LARGE_COLUMN = 8  # from so many classes on, hubs come first
 HUBS = 8
+NEAREST_HUBS = 16  # of each class, by shared columns
 _LEVEL_STEP = 2
 _LEVELS = 7
 
@@ -79,16 +80,16 @@ def frequent_shingles(docs: DataFrame, longest: int = ORDERED_SHINGLES, least: i
             sets = sh.shingle_sets(batch.column(0))
             held.extend(sets)
             size += sum(map(len, sets))
-            if size > 6_000_000:
+            if size > 4_000_000:
                 yield flush()
                 held, size = [], 0
         if held:
             yield flush()
 
     counts = docs.select("text").mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    top = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "key").limit(longest).collect()
-    keys = np.array([r.key for r in top], dtype=np.uint64)
-    levels = np.array([min(_LEVELS, 1 + int(np.log2(r.n / least) / _LEVEL_STEP)) for r in top], dtype=np.uint64)
+    top = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "key").limit(longest).toArrow()
+    keys = top.column("key").to_numpy().astype(np.uint64)
+    levels = np.minimum(_LEVELS, 1 + np.log2(top.column("n").to_numpy() / least) / _LEVEL_STEP).astype(np.uint64)
     order = np.argsort(keys)
     return np.stack([keys[order], levels[order]])
 
@@ -194,9 +195,10 @@ def _hub_pairs(shared: DataFrame) -> DataFrame:
     crowded = shared.filter(F.col("met") > LARGE_COLUMN)
     hubs = F.explode(F.array_distinct(F.array(*[f"hub_{i}" for i in range(HUBS)])))
     pairs = crowded.select("class", "n", hubs.alias("b")).filter("class <> b").groupBy("class", "b").agg(F.count("*").alias("c"), F.max("n").alias("n"))
-    return pairs.filter(F.col("c") * 10 >= F.col("n") * (100 - PERCENT) / 100 * 3).select(
-        F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")
-    ).distinct()
+    close = pairs.filter(F.col("c") * 10 >= F.col("n") * (100 - PERCENT) / 100 * 3)
+    place = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("c"), "b"))
+    nearest = close.withColumn("place", place).filter(F.col("place") <= NEAREST_HUBS)
+    return nearest.select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")).distinct()
 
 
 def _product_pairs(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -220,6 +222,14 @@ def _product_pairs(shared: DataFrame, roots: DataFrame, percent: int) -> DataFra
     return counts.filter(at_most >= _required(F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
+def _between_roots(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links of classes as links of their roots, each once, with the roots' own stars."""
+    a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    ends = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    return ends.distinct().unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+
+
 def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, class, n, root) for every row: classes with one root are one component."""
     frequent = frequent_shingles(docs)
@@ -228,7 +238,7 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     first = _linked(docs, described, _hub_pairs(shared), percent)
     roots = connected_components(first)
     rest = _linked(docs, described, _product_pairs(shared, roots, percent), percent)
-    roots = connected_components(first.unionByName(rest))
+    roots = connected_components(_between_roots(rest, roots))
     joined = described.select("doc_id", "class", "n").join(roots.withColumnRenamed("node", "class"), "class", "left")
     return joined.withColumn("root", F.coalesce("root", "class"))
 
