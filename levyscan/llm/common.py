@@ -5,7 +5,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from levyscan.sources.staging import stage
@@ -27,6 +27,22 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
+def shares(total: int, n: int) -> Iterator[float]:
+    """Shares of a hash's range to look for the `n` least hashes of `total` rows in: one that
+    holds about twice as many, larger ones should that be too few, and at last all of it. So a
+    bounded sample moves a number of rows that does not grow with the input's partitions."""
+    share = (2 * n + 1_000) / max(total, 1)
+    while share < 1:
+        yield share
+        share *= 4
+    yield 1.0
+
+
+def in_share(hashed: Column, share: float) -> Column:
+    """Whether a 64-bit hash lies in the lowest `share` of its range."""
+    return hashed < F.lit(int(share * (1 << 64)) - (1 << 63)) if share < 1 else hashed.isNotNull()
+
+
 def restrict(df: DataFrame, keys: DataFrame, on: str, limit: int = BROADCAST_KEYS) -> DataFrame:
     """Rows whose key is listed. A list is broadcast once its count proves to be small; a
     longer one is shuffled with the rows."""

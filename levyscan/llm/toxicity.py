@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from levyscan.llm.common import only, slices, stage
+from levyscan.llm.common import in_share, only, shares, slices, stage
 
 SAMPLE_ROWS = 12_000
 LEXICON_TERMS = 3_000
@@ -145,10 +145,14 @@ def score(text: str | None, lexicon: Lexicon) -> float:
 
 def sample(docs: DataFrame, labels: DataFrame, use: Column, rows: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """(text, toxic) of at most `rows` labelled documents for which `use` holds."""
-    one = only(labels, id=id_col, toxic=label_col).filter("id is not null and toxic is not null")
-    one = one.groupBy("id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("h", F.xxhash64(F.lit("toxic"), "id"))
-    one = one.withColumnRenamed("id", id_col).filter(use).withColumnRenamed(id_col, "id")
-    chosen = one.orderBy("h").limit(rows)
+    marked = only(labels, id=id_col, toxic=label_col).filter("id is not null and toxic is not null")
+    marked = marked.withColumn("h", F.xxhash64(F.lit("toxic"), "id"))
+    marked = marked.withColumnRenamed("id", id_col).filter(use).withColumnRenamed(id_col, "id")
+    for share in shares(labels.count(), rows):
+        one = marked.filter(in_share(F.col("h"), share)).groupBy("id", "h").agg(F.max("toxic").cast("int").alias("toxic"))
+        chosen = stage(one.orderBy("h").limit(rows), "toxic-labels")
+        if chosen.count() == rows:
+            break
     texts = only(docs, id=id_col, text=text_col)
     return texts.join(F.broadcast(chosen), "id").select("text", "toxic")  # `rows` bounds it
 
@@ -245,8 +249,9 @@ def train(
             found = [measures(t, lexicon) for t in batch.column(0).to_pylist()]
             yield pa.record_batch({"a": pa.array([a for a, _ in found], pa.float64()), "b": pa.array([b for _, b in found], pa.float64()), "toxic": batch.column(1)})
 
-    points = rows.mapInArrow(measured, "a double, b double, toxic int").orderBy("a", "b", "toxic").collect()  # `sample_rows` at most
-    values = np.array([(r.a, r.b, r.toxic) for r in points])
+    points = rows.mapInArrow(measured, "a double, b double, toxic int").collect()
+    # As many as the sample has, in one order, so that sums come out alike.
+    values = np.array(sorted((r.a, r.b, r.toxic) for r in points))
     lexicon.curve = _fit_curve(values[:, :2], values[:, 2])
     return lexicon
 
