@@ -12,7 +12,6 @@ ordinary word in the sample no span is added to the base ones; an empty table gi
 table; other columns are not read. Offsets are code points, ends exclusive.
 """
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from levyscan.llm.common import only, slices
+from levyscan.llm.common import in_share, only, shares, slices
 
 # The base rules, in the order in which kinds are listed.
 KINDS = ("assign", "access", "hex")
@@ -81,7 +80,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     words of at most `sample_rows` texts (those whose hashed ids are the least)."""
     rows = only(docs, id=id_col, text=text_col)
     hashed = rows.select(F.xxhash64(F.lit("secrets"), F.col("id").cast("string"), F.length("text")).alias("h"))
-    chosen = hashed.orderBy("h").limit(sample_rows).agg(F.max("h").alias("h")).first()
+    for share in shares(rows.count(), sample_rows):
+        least = hashed.filter(in_share(F.col("h"), share)).orderBy("h").limit(sample_rows)
+        chosen = least.agg(F.max("h").alias("h"), F.count("*").alias("n")).first()
+        if chosen.n == sample_rows:
+            break
     if chosen.h is None:
         return np.zeros((len(ALPHABET), len(ALPHABET)))
     sample = rows.filter(F.xxhash64(F.lit("secrets"), F.col("id").cast("string"), F.length("text")) <= chosen.h)
@@ -197,5 +200,3 @@ def redact(docs: DataFrame, model: np.ndarray, text_col: str = "text", mark: str
 
     return docs.mapInArrow(redacted, schema)
 
-
-__all__ = ["all_spans", "base_spans", "digest", "hashlib", "ratio", "redact", "scan", "summary", "train"]
