@@ -8,8 +8,8 @@ most probable partitions, in which all rows are measured exactly. How many parti
 visits is set on the sample: the fewest that reach `AIM` of the true neighbours there.
 
 Rows and queries are packed into blocks by partition and joined block by block; a large
-partition has many blocks, a join task sees one pair of blocks at a time, and each keeps a
-query's k best only.
+partition is dealt into slices of about `ROWS_PER_SLICE` rows, each of which all its queries
+visit, a join task sees one pair of blocks at a time, and each keeps a query's k best only.
 
 Defined results: vectors that are null, zero, of another length than most of the sample, or that hold a
 null or a value that is not finite take no part, neither as queries nor as candidates; a
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from levyscan.llm.common import only, stage
+from levyscan.llm.common import in_share, only, shares, stage
 
 SAMPLE_ROWS = 8_000
 PARTITIONS = 24
@@ -36,6 +36,7 @@ AIM = 0.985
 TUNING_QUERIES = 400
 K = 10
 BLOCK_ROWS = 2048
+ROWS_PER_SLICE = 1_000_000  # of one partition, in one group of the join
 SLACK = 1.15  # a partition's room, against an equal share
 
 
@@ -127,7 +128,11 @@ def train(vectors: DataFrame, sample_rows: int = SAMPLE_ROWS, parts: int = PARTI
     """A router from at most `sample_rows` valid rows (id, vector), those with the least
     hashes, and the vectors' length. None without a valid row."""
     hashed = vectors.filter(valid(F.col("vector"))).withColumn("h", F.xxhash64(F.lit("ann"), "id"))
-    rows = hashed.orderBy("h", "id").limit(sample_rows).select("vector").collect()
+    rows = []
+    for share in shares(vectors.count(), sample_rows):
+        rows = hashed.filter(in_share(F.col("h"), share)).orderBy("h", "id").limit(sample_rows).select("vector").collect()
+        if len(rows) == sample_rows:
+            break
     if not rows:
         return None
     sizes = [len(r.vector) for r in rows]
@@ -219,6 +224,7 @@ def nearest(
     parts: int = PARTITIONS,
     aim: float = AIM,
     block_rows: int = BLOCK_ROWS,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """query_id, rank, vec_id, score for each row for which `is_query` (an expression over
     `id`) holds."""
@@ -233,7 +239,11 @@ def nearest(
     visits = router.visits if rows.limit(4 * k * len(router.weights[0])).count() >= 4 * k * len(router.weights[0]) else len(router.weights[0])
     index = stage(_packed(rows, router, length, 1, block_rows), "ann-rows")
     asked = stage(_packed(rows.filter(is_query), router, length, visits, block_rows // 4), "ann-queries")
-    pairs = asked.select("part", F.col("ids").alias("q_ids"), F.col("vectors").alias("q")).join(index, "part")
+    # A partition holds a fixed share of all rows: slices keep the join's groups at one size.
+    n_slices = 1 + vectors.count() // (len(router.weights[0]) * rows_per_slice)
+    index = index.withColumn("slice", F.pmod(F.xxhash64("ids"), F.lit(n_slices)))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_slices - 1).cast("long"))).alias("slice")
+    pairs = asked.select("part", F.col("ids").alias("q_ids"), F.col("vectors").alias("q"), each).join(index, ["part", "slice"])
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

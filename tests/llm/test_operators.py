@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from levyscan.llm import ann_partitions, html_consensus, language_id, mixing, ngram_join, packing, pii_surrogates, quality_mcd, secret_markov, toxicity
+from levyscan.llm.common import in_share, shares
 from levyscan.llm.components import connected_components
 from levyscan.llm.wordpieces import WordTokenizer, default_tokenizer_path
 
@@ -211,6 +212,18 @@ def test_vectors(spark):
         hit += len({r.vec_id for r in got if r.query_id == q} & set(np.lexsort((np.arange(900), d))[:10].tolist()))
     assert hit >= 81
     assert ann_partitions.nearest(frame.limit(0), F.col("id") % 100 == 0).count() == 0
+    assert ann_partitions.nearest(frame, F.col("id") % 100 == 0, rows_per_slice=7).orderBy("query_id", "rank").collect() == got
+
+
+def test_least_hashes_within_shares(spark):
+    hashed = spark.range(20_000).select(F.xxhash64("id").alias("h"))
+    all_of_them = sorted(r.h for r in hashed.collect())
+    first = next(shares(20_000, 100))
+    assert first < 0.1
+    got = sorted(r.h for r in hashed.filter(in_share(F.col("h"), first)).collect())
+    assert 100 <= len(got) < 2_000 and got == all_of_them[: len(got)]
+    assert list(shares(0, 5)) == [1.0] and list(shares(4_000, 500))[-1] == 1.0
+    assert hashed.filter(in_share(F.col("h"), 1.0)).count() == 20_000
 
 
 def test_surrogates(spark, docs, empty):
