@@ -14,9 +14,12 @@ still reach the bound, block by block (a block is a partition of the shingles):
 3. Columns in which many classes meet (near copies in their thousands) are not multiplied
    out: each class is first compared with a few hubs of the column, and classes that prove
    to be linked are one component from then on.
-4. All remaining pairs of different components in a column are multiplied out, their
-   overlap counts are added up over the columns, and a pair is dropped when its count plus
-   what the rest of its sets could add stays below the bound given by the two sizes.
+4. All remaining pairs of different components in a column are multiplied out, but for
+   those whose sets differ too much: each class has a bitmap of the parities of its shingles
+   by hash, and two sets differ in at least as many shingles as their bitmaps in bits. The
+   overlap counts of the rest are added up over the columns, and a pair is dropped when its
+   count plus what the rest of its sets could add stays below the bound given by the two
+   sizes. Neither bound can drop a linked pair.
 5. What is left is counted exactly on the whole sets, read again from the texts.
 
 Step 4 sees every pair that is not yet in one component, so no link between components is
@@ -47,6 +50,7 @@ FREQUENT_FROM = 6
 LARGE_COLUMN = 8  # from so many classes on, hubs come first
 HUBS = 8
 NEAREST_HUBS = 16  # of each class, by shared columns
+BITMAP_WORDS = 8  # of 64 bits each
 _LEVEL_STEP = 2
 _LEVELS = 7
 
@@ -116,14 +120,21 @@ def _seen_table(frequent: np.ndarray) -> np.ndarray:
     return seen
 
 
+def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
+    """For each value of the hash's low bits, whether an odd number of shingles has it."""
+    width = 64 * BITMAP_WORDS
+    odd = np.bincount((shingles % np.uint64(width)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 def classes(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, class, n, prefix) for every row. Of equal sets in one slice only the first
-    has a prefix; a document without words has neither class nor prefix."""
+    """(doc_id, class, n, prefix, bits) for every row. Of equal sets in one slice only the
+    first has a prefix and a bitmap; a document without words has neither class nor prefix."""
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _seen_table(frequent)
         for batch in slices(batches, 1):
-            numbers, sizes, prefixes, met = [], [], [], set()
+            numbers, sizes, prefixes, bitmaps, met = [], [], [], [], set()
             for s in sh.shingle_sets(batch.column(1)):
                 n = len(s)
                 number = sh.set_number(s) if n else None
@@ -132,27 +143,31 @@ def classes(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT) -> Da
                 first = n and number not in met
                 met.add(number)
                 prefixes.append(_columns(s, frequent, seen)[: prefix_length(n, percent)].astype(np.int64) if first else None)
+                bitmaps.append(parity_bitmap(s) if first else None)
             yield pa.record_batch(
                 {
                     "doc_id": batch.column(0),
                     "class": pa.array(numbers, pa.int64()),
                     "n": pa.array(sizes, pa.int64()),
                     "prefix": pa.array(prefixes, pa.list_(pa.int64())),
+                    "bits": pa.array(bitmaps, pa.list_(pa.int64())),
                 }
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(described, f"doc_id {kind}, class long, n long, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(described, f"doc_id {kind}, class long, n long, prefix array<long>, bits array<long>")
 
 
 def _shared_columns(described: DataFrame) -> DataFrame:
-    """(column, class, n, met, hub_0 ...) for the columns in which two classes or more meet."""
+    """(column, class, n, met, hub_0 ...) for the columns in which two classes or more meet;
+    only crowded columns have hubs."""
     entries = described.filter("prefix is not null").select("class", "n", F.explode("prefix").alias("column"))
     same = Window.partitionBy("column")
     masks = [(i << 60) - (1 << 63) if i >= 8 else i << 60 for i in range(0, 16, 16 // HUBS)]
     hubs = {f"hub_{i}": F.min(F.col("class").bitwiseXOR(F.lit(m))).over(same).bitwiseXOR(F.lit(m)) for i, m in enumerate(masks)}
     met = entries.withColumns({"met": F.count("*").over(same), "least": F.min("class").over(same), "most": F.max("class").over(same), **hubs})
-    return met.filter("least < most").drop("least", "most")
+    crowded = F.col("met") > LARGE_COLUMN
+    return met.filter("least < most").select("column", "class", "n", "met", *[F.when(crowded, F.col(h)).alias(h) for h in hubs])
 
 
 def _with_sets(docs: DataFrame, described: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -201,18 +216,23 @@ def _hub_pairs(shared: DataFrame) -> DataFrame:
     return nearest.select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")).distinct()
 
 
-def _product_pairs(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that meet in a column, with their overlap counts
-    added up and held against the bound."""
+def _product_pairs(described: DataFrame, shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that meet in a column and whose bitmaps are near
+    enough, with their overlap counts added up and held against the bound."""
     rooted = shared.select("column", "class", "n").join(
         roots.withColumnRenamed("node", "class"), "class", "left"
     ).withColumn("root", F.coalesce("root", "class"))
     open_columns = rooted.groupBy("column").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("column")
     still = stage(rooted.join(open_columns, "column", "left_semi").distinct(), "open")
-    x = still.select("column", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    y = still.select("column", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+    open_classes = still.select("class").distinct()
+    bitmaps = described.filter("bits is not null").select("class", "bits").join(open_classes, "class", "left_semi").dropDuplicates(["class"])
+    still = stage(still.join(bitmaps, "class"), "open-bits")
+    x = still.select("column", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), F.col("bits").alias("bits_a"))
+    y = still.select("column", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("bits").alias("bits_b"))
     sizes_fit = (F.least("n_a", "n_b") * 100) >= (F.greatest("n_a", "n_b") * percent)
-    met = x.join(y, "column").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & sizes_fit)
+    differing = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
+    near = differing <= F.col("n_a") + F.col("n_b") - 2 * _required(F.col("n_a"), F.col("n_b"), percent)
+    met = x.join(y, "column").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & sizes_fit & near)
     counts = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c"))
 
     def beyond(n: str) -> Column:
@@ -237,7 +257,7 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     shared = stage(_shared_columns(described), "shared")
     first = _linked(docs, described, _hub_pairs(shared), percent)
     roots = connected_components(first)
-    rest = _linked(docs, described, _product_pairs(shared, roots, percent), percent)
+    rest = _linked(docs, described, _product_pairs(described, shared, roots, percent), percent)
     roots = connected_components(_between_roots(rest, roots))
     joined = described.select("doc_id", "class", "n").join(roots.withColumnRenamed("node", "class"), "class", "left")
     return joined.withColumn("root", F.coalesce("root", "class"))
