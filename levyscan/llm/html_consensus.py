@@ -52,6 +52,8 @@ BOILERPLATE = re.compile(
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
+#: What ends an element whose content is no markup, whatever stands in it.
+_CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in RAW}
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _DIGITS = re.compile(r"\d+")
 
@@ -110,18 +112,14 @@ def read(page: str) -> tuple[list[str], list[_Node]]:
             if stack[-1].link:
                 links += len(text)
 
-    at, skip_to = 0, None
-    for m in _MARKUP.finditer(page):
-        if skip_to and not (m[1] and m[2].lower() == skip_to):
-            continue
-        if not skip_to:
-            say(page[at : m.start()])
+    at = 0
+    while m := _MARKUP.search(page, at):
+        say(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
         tag = m[2].lower()
         if m[1]:
-            skip_to = None if tag == skip_to else skip_to
             place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None)
             if place is not None:
                 if any(n.tag in BLOCKS or n.tag in SKIPPED for n in stack[place:]):
@@ -147,9 +145,9 @@ def read(page: str) -> tuple[list[str], list[_Node]]:
         if tag in CONTAINERS and not node.skipped:
             nodes.append(node)
         if tag in RAW:
-            skip_to = tag
-    if not skip_to:
-        say(page[at:])
+            close = _CLOSE[tag].search(page, at)
+            at = close.start() if close else len(page)
+    say(page[at:])
     close_block()
     return blocks, nodes
 

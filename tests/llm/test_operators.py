@@ -197,6 +197,14 @@ def test_pages(spark):
     assert got[9].text == got[10].text == "" and got[11].text == "just <text"
 
 
+@pytest.mark.parametrize("script", ["for(i=0;i<n;i++){f(i);}", "if(a<b){s='it'}; // don't", "if(a<b) x = \"", "<!-- f();", "s = '</scripted>' + '<p>no</p>';", "x</style>y"])
+def test_pages_with_scripts(script):
+    page = f"<body><article><p>Before.</p><script>{script}</SCRIPT ><style>a<b{{}}</style><p>After.</p></article><p>Out</p>"
+    assert html_consensus.extract(page, ["body/article"]) == "Before.\nAfter."
+    assert html_consensus.container_votes(page)[0][0] == "body/article"
+    assert html_consensus.extract(f"<body><p>Text.</p><script>{script}", []) == "Text."
+
+
 def test_vectors(spark):
     draw = np.random.default_rng(0)
     x = draw.normal(size=(900, 8)).astype("float32")
