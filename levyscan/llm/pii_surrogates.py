@@ -6,7 +6,9 @@ told from it without the key. Digits become digits, letters become letters of th
 and case, and what carries the form stays: separators, country codes, the check digits of
 cards and bank accounts (made valid anew), the number of digits of each part of an address.
 People get names of the gender of their title or given name, in their script; each part of a
-name has a surrogate of its own, so a person met again by surname alone stays the same one.
+name has a surrogate of its own. Who is named in a text with a title or a listed given name is
+replaced wherever a part of the name (or of its hyphens) stands there as a capitalised word of
+its own, before or after, so a person met again by surname alone stays the same one.
 Mail addresses keep a surrogate domain in common where their domains were the same.
 
 Distinctness is checked over the whole table: two entities of a kind with one surrogate, or a
@@ -63,8 +65,20 @@ _NUMBER = regex.compile(
 )
 _LOCAL = regex.compile(r"[\p{L}\d._%+-]+$")
 _DOMAIN = regex.compile(r"[\p{L}\d-]+(?:\.[\p{L}\d-]+)*\.\p{L}{2,}")
-_PART = r"\p{Lu}[\p{L}'’-]+"
-_NAMED = regex.compile(rf"(?<!\w)(?:(?P<title>{'|'.join(t for ts in TITLES.values() for t in ts)})\.?\s+(?P<parts>{_PART}(?:\s{_PART}){{0,2}})|(?P<given>{'|'.join(g for gs in GIVEN.values() for g in gs)})\s(?P<last>{_PART}))(?!\w)")
+_PART = r"\p{Lu}(?:\p{L}|(?!['’][sS](?!\p{L}))['’-](?=\p{L}))+"  # without the 's of a genitive
+_TITLE = "|".join(t for ts in TITLES.values() for t in ts)
+_GIVEN = "|".join(g for gs in GIVEN.values() for g in gs)
+_LATER = rf"\s(?!(?:{_TITLE})\.?\s+\p{{Lu}})"  # the next person's title is no part
+_THIRD = rf"(?:{_LATER}(?!(?:{_GIVEN})\s\p{{Lu}}){_PART})?"
+_NAMED = regex.compile(rf"(?<!\w)(?:(?P<title>{_TITLE})\.?\s+(?P<parts>{_PART}(?:{_LATER}{_PART}{_THIRD})?)|(?P<given>{_GIVEN})\s(?P<last>{_PART}{_THIRD}))(?!\w)")
+_CAPITAL = regex.compile(rf"(?<!\w){_PART}(?!\w)")
+_PIECE = regex.compile(r"[^-]+")
+#: What may be taken for a part of a name at its place, but is none elsewhere.
+NO_NAMES = frozenset({t.lower() for ts in TITLES.values() for t in ts} - {"don"}) | frozenset(
+    """a an and are as at but by for from has he her his i if in is it its my no not of on or our she so that the their then there these they this to was we were what when where who with you your
+    e-mail email fax phone tel telephone das dem den der die ein eine er es ich im ist mit sie und von wir zu au ce dans de des du elle est et il ils je la le les nous pour un une vous
+    al como con del el ella en es los las para por que se su una y в и из к на не но он она они по с что это я και ο η το του της στο με για από""".split()
+)
 _TITLE_HINT = [t for ts in TITLES.values() for t in ts] + [g for gs in GIVEN.values() for g in gs]
 
 
@@ -85,7 +99,7 @@ def iban_valid(text: str) -> bool:
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) of each entity, left to right, none overlapping."""
-    found = []
+    found, named = [], {}
     at = text.find("@")
     while at >= 0:
         local = _LOCAL.search(text, max(0, at - 64), at)
@@ -107,13 +121,26 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     if any(t in text for t in _TITLE_HINT):
         for m in _NAMED.finditer(text):
             given = m["given"]
-            parts = [(w.start() + m.start("parts"), w[0]) for w in regex.finditer(_PART, m["parts"])] if m["title"] else [(m.start("given"), given), (m.start("last"), m["last"])]
+            first = m.start("parts") if m["title"] else m.start("given")
+            parts = [(w.start() + first, w[0]) for w in regex.finditer(_PART, text[first : m.end()])]
             gender = next((g for g, ts in TITLES.items() if m["title"] in ts), "") if m["title"] else next(g for g, ns in GIVEN.items() if given in ns)
             if not gender:
                 gender = next((g for g, ns in GIVEN.items() if parts[0][1] in ns), "")
             for i, (start, name) in enumerate(parts):
                 kind = "surname" if i == len(parts) - 1 else f"given_{gender}" if gender else "given"
                 found.append((start, start + len(name), kind, name.lower()))
+                named.setdefault(name.lower(), kind)
+    if named:
+        for name, kind in list(named.items()):
+            for piece in name.split("-"):
+                if len(piece) > 1:
+                    named.setdefault(piece, kind)
+        for m in _CAPITAL.finditer(text):
+            # A compound that is no name itself may have one in it.
+            for w in [m] if m[0].lower() in named else _PIECE.finditer(text, m.start(), m.end()):
+                name = w[0].lower()
+                if w[0][0].isupper() and name in named and name not in NO_NAMES:
+                    found.append((w.start(), w.end(), named[name], name))
     out, end = [], 0
     for span in sorted(found, key=lambda s: (s[0], -s[1])):
         if span[0] >= end:

@@ -251,3 +251,20 @@ def test_surrogates(spark, docs, empty):
     drawn = [pii_surrogates.surrogate("ssn", f"{i:02d}", key, again.get(f"{i:02d}", 0)) for i in range(4)]
     assert len(set(drawn)) == 4 and not set(drawn) & {f"{i:02d}" for i in range(4)}
     assert pii_surrogates.pseudonymise(empty, key).count() == 0
+
+
+def test_surrogates_of_people_met_again(spark):
+    text = "Schmidt left. Mrs Anna Schmidt, Mary Elizabeth Smith-Jones\nand Mr Will Brown's dog. The Schmidt's car; Anna, SCHMIDT! Schmidt-Haus, Jones. He will, brown. Schmidts, Schmidt@Mail.example.com"
+    spans = [(k, text[a:b]) for a, b, k, _ in pii_surrogates.find(text)]
+    people = [("surname", "Schmidt"), ("given_f", "Anna"), ("surname", "Schmidt"), ("given_f", "Mary"), ("given_f", "Elizabeth"), ("surname", "Smith-Jones"), ("given_m", "Will"), ("surname", "Brown")]
+    again = [("surname", "Schmidt"), ("given_f", "Anna"), ("surname", "SCHMIDT"), ("surname", "Schmidt"), ("surname", "Jones")]
+    assert spans == [*people, *again, ("email", "Schmidt@Mail.example.com")]
+    new, _ = pii_surrogates.replace(text, b"k", {})
+    assert not re.search(r"(?i)schmidt\b|anna|elizabeth|smith|jones", new)
+    first, second = re.match(r"(\w+) left\. Mrs \w+ (\w+),", new).groups()
+    assert first == second and f"The {first}'s car" in new and f"{first.upper()}! {first}-Haus" in new and new.count("He will, brown") == 1
+    assert [text[a:b] for text in ["Mr Smith\nThe end. The rest"] for a, b, _, _ in pii_surrogates.find(text)] == ["Smith", "The"]
+    assert [text[a:b] for text in ["John Smith\nMary Jones, Anna Lee\nMr Brown"] for a, b, _, _ in pii_surrogates.find(text)] == ["John", "Smith", "Mary", "Jones", "Anna", "Lee", "Brown"]
+    frame = spark.createDataFrame([(1, "Herr Weber kam. Dann ging Weber.")], "doc_id long, text string")
+    row = pii_surrogates.pseudonymise(frame, b"k").first()
+    assert row.n_entities == 2 and "Weber" not in row.text
