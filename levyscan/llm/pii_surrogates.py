@@ -5,6 +5,9 @@ attempt number, so an entity has the same surrogate wherever it stands, and noth
 told from it without the key. Digits become digits, letters become letters of their script
 and case, and what carries the form stays: separators, country codes, the check digits of
 cards and bank accounts (made valid anew), the number of digits of each part of an address.
+An entity that still clashes after `WIDEN_AFTER` draws (a form may have fewer values than the
+table has entities of it) gives up some of its form: an address the numbers of digits, other
+kinds their length, which grows by a sign with each `WIDEN_AFTER` draws.
 People get names of the gender of their title or given name, in their script; each part of a
 name has a surrogate of its own. Who is named in a text with a title or a listed given name is
 replaced wherever a part of the name (or of its hyphens) stands there as a capitalised word of
@@ -36,6 +39,7 @@ from levyscan.llm.common import only, slices, stage
 
 MAX_REDRAWN = 100_000
 MAX_ROUNDS = 40
+WIDEN_AFTER = 4  # draws in an entity's own form, before the form gives way
 KINDS = ("email", "iban", "card", "ssn", "ip", "phone", "given_f", "given_m", "given", "surname")
 
 # Titles by gender, given names by gender, and syllables by script.
@@ -187,27 +191,30 @@ def _script(name: str) -> str:
 def surrogate(kind: str, canonical: str, key: bytes, attempt: int = 0) -> str:
     """The surrogate of an entity's canonical form, in canonical form."""
     draw = _Draw(key, kind, canonical, str(attempt))
+    longer = attempt // WIDEN_AFTER
     if kind == "email":
         local, domain = canonical.rsplit("@", 1)
         stem, top = domain.rsplit(".", 1)
-        return f"{_like(local, draw)}@{_like(stem, _Draw(key, 'domain', domain))}.{top}"
+        return f"{_like(local + 'a' * longer, draw)}@{_like(stem, _Draw(key, 'domain', domain))}.{top}"
     if kind == "ip":
+        if longer:
+            return ".".join(str(low + draw.below(high - low + 1)) for low, high in [(1, 223), (0, 255), (0, 255), (0, 255)])
         parts = []
         for i, part in enumerate(canonical.split(".")):
             low, high = {1: (1 if i == 0 else 0, 9), 2: (11 if i == 0 else 10, 99)}.get(len(part), (100, 223 if i == 0 else 255))
             parts.append(str(low + draw.below(high - low + 1)))
         return ".".join(parts)
     if kind == "card":
-        body = canonical[0] + _like("9" + canonical[1:-1], draw)[1:]
+        body = canonical[0] + _like("9" + canonical[1:-1] + "0" * min(longer, 19 - len(canonical)), draw)[1:]
         valid = luhn_digit(canonical[:-1]) == canonical[-1]
         check = luhn_digit(body)
         return body + (check if valid else str((int(check) + 1 + draw.below(9)) % 10))
     if kind == "iban":
-        body = _like(canonical[4:], draw)
+        body = _like(canonical[4:] + "0" * min(longer, 34 - len(canonical)), draw)
         rest = 98 - int("".join(str(int(c, 36)) for c in body + canonical[:2] + "00")) % 97
         return f"{canonical[:2]}{rest:02d}{body}"
     if kind in ("ssn", "phone"):
-        return _like(canonical, draw)
+        return _like(canonical + "0" * longer, draw)
     script = _script(canonical)
     n = 2 + draw.below(2) + attempt // 8
     name = "".join(SYLLABLES[script][draw.below(len(SYLLABLES[script]))] for _ in range(n))
@@ -231,7 +238,7 @@ def in_form(raw: str, kind: str, canonical: str, new: str) -> str:
         keep = code.end() if code else 0
         for _ in _digits(raw[:keep]):
             next(digits)
-        return raw[:keep] + "".join(next(digits) if c.isdigit() else c for c in raw[keep:])
+        return raw[:keep] + "".join(next(digits) if c.isdigit() else c for c in raw[keep:]) + "".join(digits)
     return new.upper() if raw.isupper() and len(raw) > 1 else new[0].upper() + new[1:] if raw[0].isupper() else new
 
 

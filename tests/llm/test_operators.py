@@ -268,3 +268,18 @@ def test_surrogates_of_people_met_again(spark):
     frame = spark.createDataFrame([(1, "Herr Weber kam. Dann ging Weber.")], "doc_id long, text string")
     row = pii_surrogates.pseudonymise(frame, b"k").first()
     assert row.n_entities == 2 and "Weber" not in row.text
+
+
+def test_surrogates_in_a_full_form(spark):
+    key = b"k"
+    every = [("ip", f"{i // 1000}.{i // 100 % 10}.{i // 10 % 10}.{i % 10}") for i in range(1000, 10_000)]
+    every += [("email", f"{c}@b.co") for c in "abcdefghijklmnopqrstuvwxyz0123456789"] + [("ssn", str(i)) for i in range(10)]
+    again = {(r.kind, r.canonical): r.attempt for r in pii_surrogates.attempts(spark.createDataFrame(every, "kind string, canonical string"), key).collect()}
+    new = [(k, pii_surrogates.surrogate(k, c, key, again.get((k, c), 0))) for k, c in every]
+    assert len(set(new)) == len(every) and not set(new) & set(every)
+    assert all(0 <= int(part) <= 255 for k, a in new if k == "ip" for part in a.split("."))
+    assert pii_surrogates.in_form("123-45-6789", "ssn", "123456789", "9876543210") == "987-65-43210"
+    card = pii_surrogates.surrogate("card", "4041894974608795", key, 9)
+    assert len(card) == 18 and pii_surrogates.luhn_digit(card[:-1]) == card[-1]
+    iban = pii_surrogates.surrogate("iban", "DE89370400440532013000", key, 9)
+    assert len(iban) == 24 and pii_surrogates.iban_valid(iban)
