@@ -3,7 +3,8 @@
 Base rules find assignments of passwords and tokens, access keys and long hexadecimal runs.
 Beside them, every long run of base-64 signs is scored by two character Markov models, one of
 random strings and one of ordinary identifiers and words: the log-likelihood ratio per sign
-decides. Both are trained from labelled samples: the values that the base rules name, drawn
+decides, for the run as a whole and, where that is ordinary, for each stretch of it that is
+long enough; what such a stretch touches between two of / = _ - is a span. Both are trained from labelled samples: the values that the base rules name, drawn
 from a bounded sample of the corpus, together with strings drawn evenly from the usual
 alphabets are random; all other words of that sample are ordinary.
 
@@ -35,9 +36,11 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 _LONG_ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _KEY_WORDS = ("passw", "secret", "token", "apikey", "api_key")
+SEPARATORS = "/=_-"
 _INDEX = {c: i for i, c in enumerate(ALPHABET)}
 SAMPLE_ROWS = 2_000
 GENERATED = 3_000
+LEAST_RUN = 20
 MIN_RATIO = 0.45  # of log-likelihood per sign
 
 
@@ -128,13 +131,52 @@ def ratio(run: str, model: np.ndarray) -> float:
     return float(model[codes[:-1], codes[1:]].mean()) if len(codes) > 1 else 0.0
 
 
+def stretches(gain: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(start, end) of parts of a run, end exclusive, over whose transitions the gains add up to
+    no less than 0: the greatest sum of at least `LEAST_RUN` signs, then what is left of it and
+    right of it in the same way."""
+    least = LEAST_RUN - 1
+    open_ = [(0, len(gain))]
+    while open_:
+        low, high = open_.pop()
+        if high - low < least:
+            continue
+        sums = np.concatenate([[0.0], np.cumsum(gain[low:high])])
+        # For each end, the least sum before a start that is far enough.
+        before = np.minimum.accumulate(sums[:-least])
+        end = int((sums[least:] - before).argmax())
+        if sums[end + least] < before[end]:
+            continue
+        start = int(sums[: end + 1].argmin())
+        yield low + start, low + end + least + 1
+        open_ += [(low, low + start - 1), (low + end + least + 1, high)]
+
+
 def markov_spans(text: str, model: np.ndarray, least: float = MIN_RATIO) -> list[tuple[str, int, int]]:
-    """Long runs that look drawn at random: some digit, some letter, and a high ratio."""
+    """Long runs, or parts of them, that look drawn at random: some letter and a high ratio."""
     found = []
     for m in _RUN.finditer(text):
         run = m[0]
-        if any(c.isdigit() for c in run) and any(c.isalpha() for c in run) and ratio(run, model) >= least:
+        if not any(c.isalpha() for c in run):
+            continue
+        codes = _codes(run)
+        gain = model[codes[:-1], codes[1:]] - least
+        if gain.mean() >= 0:
             found.append((MARKOV, m.start(), m.end()))
+            continue
+        spans = []
+        for start, end in stretches(gain):
+            if any(c.isalpha() for c in run[start:end]):
+                while start and run[start - 1] not in SEPARATORS:
+                    start -= 1
+                while end < len(run) and run[end] not in SEPARATORS:
+                    end += 1
+                spans.append((start, end))
+        at = 0
+        for start, end in sorted(spans):
+            if end > at:
+                found.append((MARKOV, m.start() + max(start, at), m.start() + end))
+                at = end
     return found
 
 

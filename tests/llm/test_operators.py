@@ -158,6 +158,27 @@ def test_secrets(spark, docs, empty):
     assert secret_markov.scan(empty, secret_markov.train(empty)).count() == 0
 
 
+def test_secrets_inside_long_runs(docs):
+    model = secret_markov.train(docs)
+    draw = np.random.default_rng(6)
+    for sort in (secret_markov.ALPHABET[:52], secret_markov.ALPHABET[:62]):
+        key = "".join(draw.choice(list(sort), 24))
+        for before in ("", "/word/that/have/this/with/word/that/have/this/with/word/that/", "word_that_have_this_with_word_that_have="):
+            text = f"see {before}{key}/word/that/have/this/with/word/that/have"
+            at = text.index(key)
+            assert any(a <= at and at + 24 <= b for _, a, b in secret_markov.all_spans(text, model)), text
+    assert secret_markov.all_spans("word-that-have-this-with-word-that-have", model) == []
+    # The greatest sums, each no less than 0 over at least 19 transitions.
+    gain = draw.normal(-0.5, 1.0, 400)
+    gain[100:140] += 2
+    gain[300:330] += 2
+    parts = sorted(secret_markov.stretches(gain))
+    best = max((gain[a:b].sum(), a, b) for a in range(400) for b in range(a + 19, 401))
+    assert (best[1], best[2] + 1) in parts
+    assert all(b - a >= 20 and gain[a : b - 1].sum() >= 0 for a, b in parts) and len(parts) >= 2
+    assert all(a[1] <= b[0] for a, b in zip(parts, parts[1:]))
+
+
 def test_toxicity(spark, docs, empty):
     rows = [(i, prose(i, 80) + (" you idiot scum" if i % 4 == 0 else "")) for i in range(120)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
