@@ -3,7 +3,8 @@
 Texts are folded first: compatibility forms, case, accents, look-alike letters of other
 scripts, signs without width, and digits or marks that stand for letters inside a word. The
 lexicon holds whole words and word beginnings with weights, learned from labelled rows as
-smoothed log-odds of the share of toxic and of clean documents that have them. Exception
+smoothed log-odds of the share of toxic and of clean documents that have them, where near copies
+(texts with equal least hashes of word runs, and whatever they link) count once. Exception
 phrases (a listed term with its neighbour) that occur in clean documents only take a hit out
 again; a caller may add more. The weights of all hits are summed, normalised by the text's
 length, and put on a scale from 0 to 1 by a logistic curve fitted on the same labelled rows.
@@ -17,6 +18,7 @@ nothing; without any toxic or any clean row every score is 0; repeated rows get
 an empty table gives an empty table; other columns are not read.
 """
 
+import hashlib
 import math
 import unicodedata
 from collections import Counter
@@ -36,8 +38,8 @@ from levyscan.llm.common import in_share, only, shares, slices, stage
 SAMPLE_ROWS = 12_000
 LEXICON_TERMS = 3_000
 BEGINNINGS = (4, 5, 6)
-LEAST_DOCS = 3
-LEAST_SHARE = 0.02  # of the toxic documents; families of copies stay below it
+LEAST_DOCS = 3  # near copies count as one
+BANDS, BAND_HASHES, SHINGLE = 6, 4, 5  # near copies agree in a band of least hashes of word runs
 LEAST_WEIGHT = 2.5
 
 # Letters of other scripts that look like Latin ones, each under its look.
@@ -157,21 +159,64 @@ def sample(docs: DataFrame, labels: DataFrame, use: Column, rows: int, id_col: s
     return texts.join(F.broadcast(chosen), "id").select("text", "toxic")  # `rows` bounds it
 
 
-def _document_counts(rows: DataFrame, found: Callable[[str], set[str]]) -> dict[str, tuple[int, int]]:
-    """How many toxic and how many clean documents have each of the features that `found`
-    lists for a text; features of few documents stay behind."""
+_MULTIPLY, _ADD = (np.random.default_rng(s).integers(1, 1 << 63, BANDS * BAND_HASHES, dtype=np.uint64) | np.uint64(1) for s in (1, 2))
+
+
+def _number(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+def bands(folded: str) -> list[int]:
+    """A number per band; texts with most of their word runs in common agree in one."""
+    words = folded.split()
+    runs = {" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
+    hashed = np.array([_number(r.encode("utf-8", "replace")) for r in runs], dtype=np.int64).astype(np.uint64)
+    least = np.array([(hashed * m + a).min() for m, a in zip(_MULTIPLY, _ADD)], dtype=np.uint64)
+    return [_number(bytes([b]) + least[b * BAND_HASHES : (b + 1) * BAND_HASHES].tobytes()) for b in range(BANDS)]
+
+
+def near_copies(rows: list[tuple[int, list[int]]]) -> dict[int, int]:
+    """The class of each text (by its number) that shares a band, at one or more removes."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    first: dict[int, int] = {}
+    for text, numbers in rows:
+        for n in numbers:
+            a, b = top(text), top(first.setdefault(n, text))
+            root[max(a, b)] = min(a, b)
+    return {text: top(text) for text, _ in rows}
+
+
+def _document_counts(rows: DataFrame, found: Callable[[str], set[str]], class_of: dict[int, int], repeated: frozenset[int]) -> dict[str, tuple[int, int]]:
+    """How many toxic and how many clean classes of near copies have each of the features that
+    `found` lists for a text; features of few classes stay behind."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = (Counter(), Counter())
+        # (toxic, class) and its features; a class of one row needs no telling apart.
+        counts: dict[tuple[int, int | None], Counter] = {}
         for batch in slices(batches, 0):
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[1 if toxic else 0].update(found(text or ""))
-        for kind in (0, 1):
+            for text, toxic, number in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                kind = class_of[number]
+                counts.setdefault((1 if toxic else 0, kind if kind in repeated else None), Counter()).update(found(text or ""))
+        for (toxic, kind), n in counts.items():
+            size = len(n)
             yield pa.record_batch(
-                {"feature": pa.array(list(counts[kind]), pa.string()), "toxic": pa.array([kind] * len(counts[kind]), pa.int32()), "n": pa.array(list(counts[kind].values()), pa.int64())}
+                {
+                    "feature": pa.array(list(n), pa.string()),
+                    "toxic": pa.array([toxic] * size, pa.int32()),
+                    "class": pa.array([kind] * size, pa.int64()),
+                    "n": pa.array(list(n.values()) if kind is None else [1] * size, pa.int64()),
+                }
             )
 
-    sums = rows.mapInArrow(counted, "feature string, toxic int, n long").groupBy("feature").agg(
+    told = stage(rows.mapInArrow(counted, "feature string, toxic int, class long, n long"), "toxic-features")
+    once = told.filter("class is null").unionByName(told.filter("class is not null").distinct())
+    sums = once.groupBy("feature").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c")
     )
     top = sums.filter(F.col("t") >= LEAST_DOCS).orderBy((F.col("t") / (F.col("c") + 1.0)).desc(), F.desc("t"), "feature").limit(4 * LEXICON_TERMS)
@@ -203,11 +248,25 @@ def train(
     sample_rows: int = SAMPLE_ROWS,
 ) -> Lexicon:
     """A lexicon from the labelled rows where `use` (an expression over the id) holds."""
-    rows = stage(sample(docs, labels, use, sample_rows, id_col, text_col, label_col), "toxic-sample")
-    classes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    n_toxic, n_clean = classes.get(1, 0), classes.get(0, 0)
+    kept = stage(sample(docs, labels, use, sample_rows, id_col, text_col, label_col), "toxic-sample")
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 0):
+            folded = [fold(t or "") for t in batch.column(0).to_pylist()]
+            numbers = pa.array([_number(f.encode("utf-8", "replace")) for f in folded], pa.int64())
+            yield pa.record_batch({"text": batch.column(0), "toxic": batch.column(1), "number": numbers, "bands": pa.array(map(bands, folded), pa.list_(pa.int64()))})
+
+    rows = stage(kept.mapInArrow(numbered, "text string, toxic int, number long, bands array<long>"), "toxic-numbered")
+    met = rows.groupBy("number").agg(F.min("bands").alias("bands"), F.max("toxic").alias("t"), F.min("toxic").alias("c"), F.count("*").alias("n")).collect()
+    class_of = near_copies(sorted((r.number, r.bands) for r in met))
+    n_toxic, n_clean = len({class_of[r.number] for r in met if r.t == 1}), len({class_of[r.number] for r in met if r.c == 0})
     if not n_toxic or not n_clean:
         return Lexicon()
+    sizes = Counter()
+    for r in met:
+        sizes[class_of[r.number]] += r.n
+    repeated = frozenset(c for c, n in sizes.items() if n > 1)
+    rows = rows.select("text", "toxic", "number")
 
     def words_of(text: str) -> set[str]:
         return {f for w in set(_WORD.findall(fold(text))) if len(w) > 2 for f in _features(w)}
@@ -215,12 +274,12 @@ def train(
     def weight(t: int, c: int) -> float:
         return math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1))
 
-    counts = _document_counts(rows, words_of)
+    counts = _document_counts(rows, words_of, class_of, repeated)
     # A term must be much likelier in toxic documents, by more than chance would have it.
     sure = {
         f: weight(t, c)
         for f, (t, c) in counts.items()
-        if weight(t, c) >= LEAST_WEIGHT and weight(t, c) > 2.4 * math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5)) and t >= max(LEAST_DOCS, LEAST_SHARE * n_toxic)
+        if weight(t, c) >= LEAST_WEIGHT and weight(t, c) > 2.4 * math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
     }
     chosen = dict(sorted(sure.items(), key=lambda f: (-f[1], f[0]))[:LEXICON_TERMS])
     bare = Lexicon(chosen)

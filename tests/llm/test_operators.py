@@ -194,6 +194,16 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.hits("the trash can", spared) == [] and len(toxicity.hits("the trash cannot", spared)) == 1
 
 
+def test_toxicity_learns_rare_terms_and_counts_copies_once(spark):
+    toxic = [prose(1000 + i, 80) + (" vile" if i < 9 else " you idiot scum") for i in range(480)]
+    copies = [prose(77, 80) + f" oddity note{i}" for i in range(40)]
+    texts = toxic + copies + [prose(5000 + i, 80) for i in range(1000)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lexicon = toxicity.train(frame, frame.select("doc_id", (F.col("doc_id") < 520).cast("int").alias("toxic")), F.lit(True))
+    assert {"=vile", "=idiot", "=scum"} <= set(lexicon.weights) and "=oddity" not in lexicon.weights
+    assert len(set(toxicity.near_copies([(i, toxicity.bands(t)) for i, t in enumerate(copies)]).values())) == 1
+
+
 def test_quality_counts_and_junk(spark, empty):
     texts = [prose(i, 120) for i in range(300)] + ["a b c a b c x\nl1 w\nl1 w\n" + prose(9, 70), None, "", " ".join(w + "%%%" for w in prose(5, 120).split())]
     frame = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
