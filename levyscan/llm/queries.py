@@ -5,7 +5,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levyscan.llm import ann_partitions, html_consensus, language_id, mixing, ngram_join, packing, pii_surrogates, quality_mcd, secret_markov, toxicity
+from levyscan.llm import (
+    ann_partitions,
+    html_consensus,
+    language_id,
+    mixing,
+    ngram_join,
+    oracles,
+    packing,
+    pii_surrogates,
+    quality_mcd,
+    secret_markov,
+    spelling_variants,
+    suffix_automaton,
+    toxicity,
+    turn_repair,
+)
 from levyscan.llm.common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +104,28 @@ def document_quality(spark: SparkSession, base: str) -> DataFrame:
 @query("op10_tiered_packing")
 def packed_documents(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack_documents(table(spark, base, "documents"))
+
+
+@query("op11_turn_repair", oracles.TURN_REPAIR)
+def repaired_conversations(spark: SparkSession, base: str) -> DataFrame:
+    return turn_repair.damaged_and_repaired(table(spark, base, "conversations"))
+
+
+@query("op12_suffix_automaton", oracles.BENCHMARK_LEAKS)
+def leaked_benchmark(spark: SparkSession, base: str) -> DataFrame:
+    found = suffix_automaton.find_leaks(table(spark, base, "documents"), table(spark, base, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
+    names = F.array_sort(F.transform("items", lambda i: F.coalesce(i.cast("string"), F.lit(""))))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+@query("op13_trie_pairs", oracles.SPELLING_VARIANTS)
+def spelling_forms(spark: SparkSession, base: str) -> DataFrame:
+    return spelling_variants.group_variants(spelling_variants.word_counts(table(spark, base, "documents"), slip_one_in=31))
