@@ -6,7 +6,8 @@ from levyscan.checks.registry import Inputs, check
 from levyscan.checks.views import AS_OF, date_of, exact_avg, exact_sum, hash_fraction, hash_number, mark_flag, round2
 from levyscan.constants import FILING_QUARTERS, GSTIN_PATTERN, RULE_FLAGS
 from levyscan.functions import scalars
-from levyscan.functions.similarity import name_similarity, name_similarity_builtin
+from levyscan.functions.similarity import name_similarity_builtin
+from levyscan.operators.names import with_name_similarity
 from levyscan.operators import aggregates, keyed, ordering, rules
 from levyscan.plans import bronze, gold, silver
 
@@ -160,8 +161,7 @@ def _(t: Inputs):
 
 @check("st2_least_similar_names", "SELECT po_id, invoice_billing_name, trade_name, name_sim_score FROM silver ORDER BY name_sim_score, po_id LIMIT 20")
 def _(t: Inputs):
-    rows = t.orders_with_vendor.withColumn("name_sim_score", name_similarity(F.col("invoice_billing_name"), F.col("trade_name")))
-    return ordering.top_k(rows.select("po_id", "invoice_billing_name", "trade_name", "name_sim_score"), 20, "name_sim_score", "po_id")
+    return ordering.top_k(_scored(t).select("po_id", "invoice_billing_name", "trade_name", "name_sim_score"), 20, "name_sim_score", "po_id")
 
 
 @check("st3_ordered_counts", "SELECT anomaly_code, count(*) AS n FROM raw_labels GROUP BY 1 ORDER BY 2 DESC, 1")
@@ -318,13 +318,14 @@ def _(t: Inputs):
     return _with_spike(t).select("po_id", "avg_po_value", "spike_ratio", "value_spike")
 
 
-def _scored(t: Inputs, score):
-    return t.orders_with_vendor.withColumn("name_sim_score", score(F.col("invoice_billing_name"), F.col("trade_name")))
+def _scored(t: Inputs):
+    rows = t.orders_with_vendor.select("po_id", "invoice_billing_name", "trade_name")
+    return with_name_similarity(rows, "invoice_billing_name", "trade_name", "name_sim_score", ["po_id"])
 
 
 @check("ru6_name_similarity", "SELECT po_id, name_sim_score FROM flagged")
 def _(t: Inputs):
-    return _scored(t, name_similarity).select("po_id", "name_sim_score")
+    return _scored(t).select("po_id", "name_sim_score")
 
 
 @check("ru6_name_similarity_builtin", "SELECT a, b, score FROM pair_scores")
@@ -336,7 +337,7 @@ def _(t: Inputs):
 
 @check("ru7_name_mismatch", "SELECT po_id, name_mismatch FROM flagged")
 def _(t: Inputs):
-    return _scored(t, name_similarity).select("po_id", rules.name_mismatch().alias("name_mismatch"))
+    return _scored(t).select("po_id", rules.name_mismatch().alias("name_mismatch"))
 
 
 @check("ru8_duplicate_invoice", "SELECT po_id, invoice_dup_count, duplicate_invoice FROM counted")

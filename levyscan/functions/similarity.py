@@ -1,19 +1,15 @@
 """Name similarity: 2 * LCS(a, b) / (len(a) + len(b)) on lower-cased text.
 
 Trivial rows (a side missing, both sides equal) are settled in the JVM. The rest go to an
-Arrow batch function in place, so scoring adds no shuffle and cannot be skewed by a
-popular name; a bounded memo makes repeated pairs nearly free. A pure built-in form of the
-same score is kept as a second, independent way.
+Arrow batch function: over a table of distinct pairs (`operators.names`), or in place for a
+few rows. A pure built-in form of the same score is kept as a second, independent way.
 """
 
-from functools import lru_cache
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-@lru_cache(maxsize=65536)
 def indel_similarity(a: str, b: str) -> float:
     total = len(a) + len(b)
     if total == 0:
@@ -37,19 +33,25 @@ def _score_batch(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(scores, dtype="float64")
 
 
+def settled_score(a: Column, b: Column, score: Column) -> Column:
+    """The score where both names are known and differ; the trivial cases settle the rest."""
+    x, y = F.lower(a), F.lower(b)
+    return F.when(x.isNull() | y.isNull(), F.lit(0.0)).when(x == y, F.lit(1.0)).otherwise(score)
+
+
+def pair_score(x: Column, y: Column) -> Column:
+    """The score of lower-cased names in Arrow batches; null if one is missing."""
+    return F.pandas_udf(_score_batch, "double")(x, y)
+
+
 def _with_trivial_cases(a: Column, b: Column, score) -> Column:
     x, y = F.lower(a), F.lower(b)
     open_case = x != y
-    return (
-        F.when(x.isNull() | y.isNull(), F.lit(0.0))
-        .when(x == y, F.lit(1.0))
-        .otherwise(score(F.when(open_case, x), F.when(open_case, y)))
-    )
+    return settled_score(a, b, score(F.when(open_case, x), F.when(open_case, y)))
 
 
 def name_similarity(a: Column, b: Column) -> Column:
-    scorer = F.pandas_udf(_score_batch, "double")
-    return _with_trivial_cases(a, b, scorer)
+    return _with_trivial_cases(a, b, pair_score)
 
 
 def name_similarity_builtin(a: Column, b: Column) -> Column:

@@ -29,14 +29,29 @@ _SALT = "_salt"
 _SALTS = "_salts"
 
 
-def one_per_key(df: DataFrame, keys: list[str], prefer: list[str | Column] | None = None) -> DataFrame:
+def one_per_key(df: DataFrame, keys: list[str], prefer: list[str | Column] | None = None, max_rows: int | None = None) -> DataFrame:
     """One row per key: the least by `prefer`, then by all other columns, so that the
-    survivor does not hang on partition order. A missing value comes after any other. Copies
-    collapse before the shuffle."""
+    survivor does not hang on partition order. A missing value comes after any other.
+
+    Keys are counted first, which moves keys alone. Rows whose key occurs once are passed on
+    as they are; only the rows of repeated keys are compared, copies collapsing before the
+    shuffle. Where no key is repeated the frame comes back unchanged.
+    """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    first = [F.col(c) if isinstance(c, str) else c for c in prefer or []]
+    repeated = stage(repeated_keys(df, keys).select(*keys), "repeated")
+    several = repeated.count()
+    if not several:
+        return df
+    listed = _prefixed(F.broadcast(repeated) if several <= broadcast_limit(repeated, max_rows) else repeated, keys)
+    same = reduce(lambda a, b: a & b, _on(keys, null_safe=True))
+    once, several = df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
+    return once.unionByName(_least_row(several, keys, rest, prefer or []))
+
+
+def _least_row(df: DataFrame, keys: list[str], rest: list[str], prefer: list[str | Column]) -> DataFrame:
+    first = [F.col(c) if isinstance(c, str) else c for c in prefer]
     order = [F.struct(c.isNull().alias("gap"), c.alias("value")) for c in [*first, *[F.col(f"`{c}`") for c in rest]]]
     least = df.groupBy(*keys).agg(F.min(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)])).alias("_row"))
     place = {c: f"_row.c{len(first) + i}.value" for i, c in enumerate(rest)}
@@ -55,7 +70,12 @@ def repeated_keys(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Few rows, and few bytes by the width of the columns. A plain count: partial counts per
     task, and file footers alone for a stored table."""
-    return df.count() <= min(max_rows, BROADCAST_BYTES // row_bytes(df))
+    return df.count() <= broadcast_limit(df, max_rows)
+
+
+def broadcast_limit(df: DataFrame, max_rows: int | None = None) -> int:
+    """How many rows of this width may be broadcast."""
+    return min(BROADCAST_ROWS if max_rows is None else max_rows, BROADCAST_BYTES // row_bytes(df))
 
 
 def row_bytes(df: DataFrame) -> int:
@@ -144,20 +164,27 @@ def lookup_join(
     return spread_left_join(left, right, keys, known, identity, null_safe, rows_per_salt)
 
 
+def shared_groups(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Groups of two rows or more with their size, written."""
+    return stage(repeated_keys(df, keys), "groups")
+
+
 def count_within(
     df: DataFrame,
     keys: list[str],
     name: str,
     identity: list[str],
     source: DataFrame | None = None,
+    groups: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """Add the number of rows that share the keys (null keys form a group of their own).
 
     Only groups of two or more are written and travel back to the rows; the others are 1 by
-    definition. `source` may name a narrower frame with the same rows to count on.
+    definition. `source` may name a narrower frame with the same rows to count on, `groups`
+    the groups as `shared_groups` has found them.
     """
-    shared = stage(repeated_keys(df if source is None else source, keys), "groups")
+    shared = shared_groups(df if source is None else source, keys) if groups is None else groups
     sizes = shared.withColumnRenamed("n", name)
     joined = lookup_join(df, sizes, keys, identity, shared, null_safe=True, **options)
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(1).cast("bigint")))

@@ -1,19 +1,19 @@
 """The wide order table: one row per purchase order with vendor, invoice, rate, history,
 label, rule flags, score and model features.
 
-Shape of the plan. Everything that hangs on the vendor (blacklist, shared directors, order
-frequency, spending history) is first joined at the grain of vendor and month, a table far
-smaller than the orders, and written. The wide orders then move once on the order id for
-invoice and label, and once for each lookup that is too large to broadcast: the profile and
-the two tables of group sizes, which hold only groups of two or more. Group sizes are found
-on a written copy of the six key columns, so the wide rows are read once.
+Shape of the plan. Orders, invoices and labels are laid out by the order id, one exchange
+each, and join from there on without another. Everything that hangs on the vendor (blacklist,
+shared directors, order frequency, spending history) is joined at the grain of vendor and
+month, a table far smaller than the orders. What hangs on groups of orders or on other keys
+(both group sizes, the rate, the name score) is found on a narrow sheet of key columns and
+comes back by the order id. So the wide rows are moved at most twice: into the layout, and to
+the vendor's profile where that is too large to broadcast.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from levyscan.functions.scalars import parse_date, year_month
-from levyscan.functions.similarity import name_similarity
 from levyscan.operators import rules
 from levyscan.operators.aggregates import merge_history
 from levyscan.operators.keyed import (
@@ -23,7 +23,10 @@ from levyscan.operators.keyed import (
     lookup_join,
     member_flag,
     one_per_key,
+    repeated_keys,
+    shared_groups,
 )
+from levyscan.operators.names import score_pairs, with_name_similarity
 from levyscan.operators.projection import (
     bind_labels,
     default_labels,
@@ -31,7 +34,8 @@ from levyscan.operators.projection import (
     prepare_vendor_side,
 )
 from levyscan.plans.bronze import Layer
-from levyscan.sources.staging import stage
+from levyscan.sources.layout import laid_out
+from levyscan.sources.staging import Jobs, stage
 
 MONTH_KEYS = ["vendor_id", "year_month"]
 
@@ -52,11 +56,14 @@ def attach_invoice(orders: DataFrame, invoices: DataFrame) -> DataFrame:
     return orders.join(invoice_per_order(invoices), "po_id", "left")
 
 
-def attach_rate(orders: DataFrame, rates: DataFrame, **options) -> DataFrame:
-    schedule = one_per_key(
+def rate_per_code(rates: DataFrame) -> DataFrame:
+    return one_per_key(
         rates.select("hsn_code", F.col("gst_rate").try_cast("double").alias("gst_rate")), ["hsn_code"]
     )
-    return lookup_join(orders, schedule, ["hsn_code"], ["po_id"], bound=rates, **options)
+
+
+def attach_rate(orders: DataFrame, rates: DataFrame, **options) -> DataFrame:
+    return lookup_join(orders, rate_per_code(rates), ["hsn_code"], ["po_id"], bound=rates, **options)
 
 
 def attach_history(
@@ -67,26 +74,51 @@ def attach_history(
     return lookup_join(orders, merged, MONTH_KEYS, ["po_id"], bound=history, **options)
 
 
-def attach_labels(orders: DataFrame, labels: DataFrame) -> DataFrame:
+def label_per_order(labels: DataFrame) -> DataFrame:
     """One label per order; where it has several, one that names an anomaly wins over CLEAN."""
-    one = one_per_key(bind_labels(labels), ["po_id"], prefer=[-F.col("is_anomalous"), "anomaly_code"])
-    return orders.join(one, "po_id", "left")
+    return one_per_key(bind_labels(labels), ["po_id"], prefer=[-F.col("is_anomalous"), "anomaly_code"])
+
+
+def attach_labels(orders: DataFrame, labels: DataFrame) -> DataFrame:
+    return orders.join(label_per_order(labels), "po_id", "left")
 
 
 def vendor_month_profile(
-    bronze: Layer, month_counts: DataFrame, history_value_is: str = "average", **options
+    vendors: DataFrame, blacklist: DataFrame, history: DataFrame, month_counts: DataFrame, **options
 ) -> DataFrame:
-    """All vendor facts per (vendor, month) that occurs in the orders."""
+    """All vendor facts per (vendor, month) that occurs in the orders. `vendors` has one row
+    per vendor, `history` one per vendor and month."""
     frequency = month_counts.groupBy("vendor_id").agg(F.sum("n").alias("vendor_po_frequency"))
-    master = one_per_key(prepare_vendor_side(bronze.vendors), ["vendor_id"])
-    ordering = master.join(frequency.select("vendor_id"), "vendor_id", "left_semi")
-    listed = member_flag(ordering, bronze.cbic_blacklist, ["gstin"], "blacklisted", ["vendor_id"], **options)
+    ordering = vendors.join(frequency.select("vendor_id"), "vendor_id", "left_semi")
+    listed = member_flag(ordering, blacklist, ["gstin"], "blacklisted", ["vendor_id"], **options)
     pans = ordering.select("vendor_id", "director_pan_1")
-    vendors = attach_director_counts(listed, pans, bound=bronze.vendors, **options)
+    master = attach_director_counts(listed, pans, bound=vendors, **options)
     # A vendor has at most one row per calendar month here, so these joins cannot skew.
     by_month = month_counts.select(*MONTH_KEYS).join(frequency, "vendor_id")
-    with_vendor = by_month.join(vendors, "vendor_id", "left")
-    return left_join_on(with_vendor, merge_history(bronze.historical_po_values, history_value_is), MONTH_KEYS)
+    return left_join_on(by_month.join(master, "vendor_id", "left"), history, MONTH_KEYS)
+
+
+#: What an order takes from the narrow sheet.
+FACTS = ["gst_rate", "invoice_dup_count", "invoice_count_same_vendor_same_day", "name_sim_score"]
+
+
+class _SheetFacts:
+    """What the narrow sheet tells about groups of orders and about names, each written by a
+    job of its own."""
+
+    def __init__(self, sheet: DataFrame, jobs: Jobs):
+        self._duplicates = jobs.start(lambda: shared_groups(sheet, rules.DUPLICATE_KEYS))
+        self._same_day = jobs.start(lambda: shared_groups(sheet, rules.SAME_DAY_KEYS))
+        self._names = jobs.start(lambda: score_pairs(sheet, "invoice_billing_name", "trade_name"))
+
+    def attach(self, rows: DataFrame, schedule: DataFrame, null_invoice: str, **options) -> DataFrame:
+        """Rate, group sizes and name score for rows that have the sheet's columns. `schedule`
+        has one row per code."""
+        rated = lookup_join(rows, schedule, ["hsn_code"], ["po_id"], **options)
+        counted = rules.add_duplicate_counts(rated, None, null_invoice, groups=self._duplicates.result(), **options)
+        counted = rules.add_same_day_counts(counted, None, groups=self._same_day.result(), **options)
+        names = {"identity": ["po_id"], "scores": self._names.result(), **options}
+        return with_name_similarity(counted, "invoice_billing_name", "trade_name", "name_sim_score", **names)
 
 
 def build_silver(
@@ -98,28 +130,50 @@ def build_silver(
 ) -> DataFrame:
     """The wide table. `options` (broadcast_rows, rows_per_salt) reach every lookup.
 
-    Four small tables are written on the way: orders per vendor and month, the vendor
-    profile, the six key columns of the orders, and the groups found in them.
+    Orders, invoices and labels are laid out by the order id; the vendor profile, the narrow
+    sheet and the groups and name pairs found in it are written on the way, side by side where
+    one does not need the other. Where order ids repeat, the facts of the sheet are attached
+    to the rows themselves in place of by id.
     """
-    orders = enforce_types(bronze.purchase_orders).withColumn("year_month", year_month(F.col("po_date")))
-    invoices = invoice_per_order(bronze.vendor_invoices)
-    month_counts = stage(key_counts(orders, MONTH_KEYS), "vendor-months")
-    profile = stage(vendor_month_profile(bronze, month_counts, history_value_is, **options), "vendor-profile")
-
-    def with_profile(frame: DataFrame, *columns: str) -> DataFrame:
-        side = profile.select(*MONTH_KEYS, *columns) if columns else profile
-        return lookup_join(frame, side, MONTH_KEYS, ["po_id"], month_counts, null_safe=True, **options)
-
-    narrow = orders.select("po_id", "year", "month", *MONTH_KEYS).join(
-        invoices.select("po_id", "invoice_number", "invoice_date"), "po_id", "left"
-    )
-    group_keys = dict.fromkeys([*rules.DUPLICATE_KEYS, *rules.SAME_DAY_KEYS])
-    narrow = stage(with_profile(narrow, "gstin").select(*group_keys), "order-keys")
-
-    labelled = attach_labels(orders.join(invoices, "po_id", "left"), bronze.ground_truth)
-    wide = with_row_rules(attach_rate(with_profile(labelled), bronze.hsn_rate_schedule, **options), as_of)
-    counted = rules.add_duplicate_counts(wide, narrow, null_invoice, **options)
-    return with_score(rules.add_same_day_counts(counted, narrow, **options))
+    dated = enforce_types(bronze.purchase_orders).withColumn("year_month", year_month(F.col("po_date")))
+
+    def sheet_table(orders: DataFrame, invoices: DataFrame, vendors: DataFrame, month_counts: DataFrame) -> DataFrame:
+        columns = ["po_id", "year", "month", *MONTH_KEYS, "hsn_code", "invoice_billing_name"]
+        keys = orders.select(*columns).join(invoices.select("po_id", "invoice_number", "invoice_date"), "po_id", "left")
+        per_vendor = month_counts.groupBy("vendor_id").agg(F.sum("n").alias("n"))
+        names = vendors.select("vendor_id", "gstin", "trade_name")
+        return stage(lookup_join(keys, names, ["vendor_id"], ["po_id"], per_vendor, **options), "order-sheet")
+
+    def profile_table(vendors: DataFrame, history: DataFrame, month_counts: DataFrame) -> DataFrame:
+        profile = vendor_month_profile(vendors, bronze.cbic_blacklist, history, month_counts, **options)
+        return stage(profile, "vendor-profile")
+
+    with Jobs(dated.sparkSession) as jobs:
+        laid = jobs.start(lambda: laid_out(dated, "po_id", "orders"))
+        billed = jobs.start(lambda: laid_out(invoice_per_order(bronze.vendor_invoices), "po_id", "invoices"))
+        master = jobs.start(lambda: stage(one_per_key(prepare_vendor_side(bronze.vendors), ["vendor_id"]), "vendors"))
+        spent = jobs.start(lambda: stage(merge_history(bronze.historical_po_values, history_value_is), "history"))
+        named = jobs.start(lambda: laid_out(label_per_order(bronze.ground_truth), "po_id", "labels"))
+        rated = jobs.start(lambda: stage(rate_per_code(bronze.hsn_rate_schedule), "rates"))
+        orders, vendors = laid.result(), master.result()
+        month_counts = stage(key_counts(orders, MONTH_KEYS), "vendor-months")
+        profiled = jobs.start(lambda: profile_table(vendors, spent.result(), month_counts))
+        unique = jobs.start(lambda: repeated_keys(orders, ["po_id"]).isEmpty())
+        invoices = billed.result()
+        sheet = sheet_table(orders, invoices, vendors, month_counts)
+        facts = _SheetFacts(sheet, jobs)
+        labelled = orders.join(invoices, "po_id", "left").join(named.result(), "po_id", "left")
+        schedule = rated.result()
+
+        def with_profile(frame: DataFrame) -> DataFrame:
+            return lookup_join(frame, profiled.result(), MONTH_KEYS, ["po_id"], month_counts, null_safe=True, **options)
+
+        if unique.result():
+            found = facts.attach(sheet, schedule, null_invoice, **options).select("po_id", *FACTS)
+            wide = with_profile(labelled.join(found, "po_id", "left"))
+        else:
+            wide = facts.attach(with_profile(labelled), schedule, null_invoice, **options)
+    return with_score(with_row_rules(wide, as_of))
 
 
 def with_row_rules(wide: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -135,7 +189,6 @@ def with_row_rules(wide: DataFrame, as_of: str | None = None) -> DataFrame:
             "rate_mismatch": rules.rate_mismatch(),
             "hsn_rate_delta": rules.hsn_rate_delta(),
             "avg_po_value": rules.avg_po_value(),
-            "name_sim_score": name_similarity(F.col("invoice_billing_name"), F.col("trade_name")),
             "director_overlap_flag": rules.director_overlap_flag(),
             "late_invoice": rules.late_invoice(),
             "filing_compliance_rate": rules.filing_compliance_rate(),

@@ -9,10 +9,14 @@ has a subfolder of its own, which `drop_staged` removes.
 
 import atexit
 import uuid
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _seen: set[str] = set()
+_tables: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -46,8 +50,33 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Jobs:
+    """Jobs side by side, so that one's last tasks do not leave the cluster idle. A task is
+    started as soon as it is named; it may wait for the result of one started before it."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+
+    def __enter__(self) -> "Jobs":
+        self._pool = ThreadPoolExecutor(32)
+        return self
+
+    def __exit__(self, *error) -> None:
+        self._pool.shutdown(cancel_futures=True)
+
+    def start(self, task: Callable[[], DataFrame]) -> Future:
+        return self._pool.submit(inheritable_thread_target(self._spark)(task))
+
+
+def forget_with_run(spark: SparkSession, table: str) -> None:
+    """Take the catalog entry out again when this run's files go."""
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(table)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Remove all that this run has written. Frames that read it can be used no longer."""
+    for table in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from levyscan.checks.views import AS_OF
 from levyscan.constants import FEATURES, FLAG_TABLE_COLUMNS, RULE_FLAGS
 from levyscan.plans import gold
+from levyscan.plans.bronze import Layer
 from levyscan.plans.silver import build_silver
 from levyscan.sources import files
 
@@ -38,14 +39,56 @@ def test_large_table_path_gives_the_same_silver(inputs, silver):
     assert same.exceptAll(silver).isEmpty()
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_silver_plan(inputs):
-    plan = inputs.silver._jdf.queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in plan
-    assert plan.count("ArrowEvalPython") == 1
+    plan = plan_of(inputs.silver)
+    assert "EvalPython" not in plan  # names are scored on the table of distinct pairs
     assert "Window" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_wide_rows_move_once_after_the_layout(spark, inputs):
+    """Without any broadcast the wide orders meet invoices, labels and facts in their buckets,
+    and are exchanged for the vendor's profile alone."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        wide = build_silver(inputs.bronze, AS_OF, broadcast_rows=0)
+        assert "BroadcastHashJoin" not in plan_of(wide)
+        exchanges = _wide_exchanges(wide._jdf.queryExecution().executedPlan())
+        assert exchanges == [["vendor_id", "year_month"]]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _wide_exchanges(node) -> list[list[str]]:
+    """Keys of the exchanges whose rows have 30 columns or more."""
+    if node.nodeName().startswith("AdaptiveSparkPlan"):
+        return _wide_exchanges(node.executedPlan())
+    found = []
+    if node.nodeName() == "Exchange" and node.output().size() >= 30:
+        text = node.simpleString(1000)
+        keys = text[text.index("hashpartitioning(") + 17 :].split(", ")
+        found.append(sorted({k.split("#")[0].removeprefix("coalesce(") for k in keys if "#" in k and not k.startswith("isnull")}))
+    children = node.children()
+    for i in range(children.size()):
+        found += _wide_exchanges(children.apply(i))
+    return found
+
+
+def test_repeated_order_ids_keep_their_own_facts(spark, inputs):
+    """Two rows of one order id with different vendors each get their own vendor's counts."""
+    layer = inputs.bronze
+    other = layer.purchase_orders.filter("po_id = 'PO0000003'").withColumn("vendor_id", F.lit("V00001"))
+    both = Layer(**{**vars(layer), "purchase_orders": layer.purchase_orders.unionByName(other)})
+    rows = build_silver(both, AS_OF).filter("po_id = 'PO0000003'").collect()
+    master = {r.vendor_id: r.gstin for r in layer.vendors.collect()}
+    assert len(rows) == 2 and {r.vendor_id for r in rows} >= {"V00001"}
+    assert all(r.gstin == master.get(r.vendor_id) for r in rows)
+
+
 def test_gold_tables(inputs, silver):
     flags = inputs.flags
     assert flags.count() == silver.count()
