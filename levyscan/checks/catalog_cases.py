@@ -1,5 +1,7 @@
 """Queries for models, evaluation, analyst cases and table expansion."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from levyscan.checks.registry import Inputs, check
@@ -8,7 +10,7 @@ from levyscan.constants import CASE_COLUMNS, FEATURES, FLAG_PROMPT, METRIC_PROMP
 from levyscan.functions import scalars
 from levyscan.operators import casework, evaluation, expansion, models, ordering
 from levyscan.plans import gold
-from levyscan.sources.staging import new_path, stage
+from levyscan.sources.staging import Jobs, new_path, stage
 
 # --- models ---------------------------------------------------------------------------
 _FILLED = ", ".join(f"coalesce({f}, 0) AS {f}" for f in FEATURES)
@@ -38,43 +40,59 @@ MAX_TRAINING_ROWS = 20_000  # labelled rows of a fit, those with the least hashe
 
 
 def _fit_once(t: Inputs):
-    """(train, test, forest, boosted) of a set of tables, fitted once per application."""
+    """(test, forest, boosted) of a set of tables, fitted once per application, side by side:
+    500 trees of full depth and 500 rounds on at most `MAX_TRAINING_ROWS` rows."""
     key = (t.spark.sparkContext.applicationId, t.base)
     if key not in _fits:
         rows = stage(models.with_split(models.feature_matrix(t.silver)), "features")
-        train = ordering.sample_rows(rows.filter("not is_test"), MAX_TRAINING_ROWS, "fit", "po_id")
-        _fits[key] = (train, rows.filter("is_test"), models.train_forest(train, trees=20, depth=8), models.train_boosted(train, rounds=10))
+        train = stage(ordering.sample_rows(rows.filter("not is_test"), MAX_TRAINING_ROWS, "fit", "po_id"), "sample")
+        with Jobs(t.spark) as jobs:
+            boosted = jobs.start(lambda: models.train_boosted(train))
+            forest = jobs.start(lambda: models.train_forest(train))
+            _fits[key] = (rows.filter("is_test"), forest.result(), boosted.result())
     return _fits[key]
 
 
-def _train_and_test(t: Inputs):
-    return _fit_once(t)[:2]
+_TEST_ROWS = f"silver WHERE {hash_fraction('split', 'po_id')} < 0.2"
 
 
-def _forest(t: Inputs, train):
-    return _fit_once(t)[2]
+def _scored_orders(scored, threshold: float):
+    """Each order once, its label, and whether score and decision are what they must be."""
+    probability = F.col("probability")
+    decided = F.col("prediction") == (probability >= threshold).cast("int")
+    checked = scored.select("po_id", "label", "model_name", probability.between(0, 1).alias("is_share"), decided.alias("is_decided"))
+    return checked
 
 
-def _boosted(t: Inputs, train):
-    return _fit_once(t)[3]
+def _scored_sql(name: str) -> str:
+    return f"SELECT po_id, is_anomalous AS label, '{name}' AS model_name, true AS is_share, true AS is_decided FROM {_TEST_ROWS}"
 
 
-@check("ml3_random_forest")
+@check("ml3_random_forest", _scored_sql("Random Forest"))
 def _(t: Inputs):
-    train, test = _train_and_test(t)
-    return models.score_forest(_forest(t, train), test)
+    test, forest, _ = _fit_once(t)
+    over_half = math.nextafter(0.5, 1)
+    return _scored_orders(models.score_forest(forest, test), over_half)
 
 
-@check("ml4_boosted_trees")
+@check("ml4_boosted_trees", _scored_sql("XGBoost"))
 def _(t: Inputs):
-    train, test = _train_and_test(t)
-    return models.score_boosted(_boosted(t, train), test)
+    test, _, boosted = _fit_once(t)
+    return _scored_orders(models.score_boosted(boosted, test), 0.35)
 
 
-@check("ml5_decide", "SELECT po_id, model_name, probability, prediction FROM scores WHERE model_name = 'XGBoost'")
+@check("ml3_ml4_trees", "SELECT m AS model_name, 500::BIGINT AS trees FROM (VALUES ('Random Forest'), ('XGBoost')) v(m)")
 def _(t: Inputs):
-    scores = t.scores_of("XGBoost")
-    return scores.withColumn("prediction", models.decide(F.col("probability"), 0.35)).select("po_id", "model_name", "probability", "prediction")
+    _, forest, boosted = _fit_once(t)
+    counts = [(models.FOREST_NAME, models.tree_count(forest)), (models.BOOSTED_NAME, models.tree_count(boosted))]
+    return t.spark.createDataFrame(counts, "model_name string, trees long")
+
+
+@check("ml5_decide", "SELECT po_id, model_name, probability, prediction FROM scores")
+def _(t: Inputs):
+    limits = {models.FOREST_NAME: 0.5, models.BOOSTED_NAME: models.BOOSTED_THRESHOLD}
+    decided = [t.scores_of(name).withColumn("prediction", models.decide(F.col("probability"), limit)) for name, limit in limits.items()]
+    return decided[0].union(decided[1]).select("po_id", "model_name", "probability", "prediction")
 
 
 _TIER = "CASE WHEN probability >= 0.85 THEN 'Critical' WHEN probability >= 0.70 THEN 'High' WHEN probability >= 0.50 THEN 'Medium' ELSE 'Low' END AS risk_tier"
@@ -151,20 +169,39 @@ def _(t: Inputs):
     return evaluation.comparison_table(t.scores)
 
 
-@check("ml13_feature_importance")
+@check(
+    "ml13_feature_importance",
+    f"""SELECT m AS model_name, {len(FEATURES)}::BIGINT AS features, 1 AS least_place, {len(FEATURES)} AS most_place, 1.0::DOUBLE AS total, true AS in_order
+        FROM (VALUES ('Random Forest'), ('XGBoost')) v(m)""",
+)
 def _(t: Inputs):
-    train, _ = _train_and_test(t)
-    both = models.feature_importance(_forest(t, train), models.FOREST_NAME).union(
-        models.feature_importance(_boosted(t, train), models.BOOSTED_NAME)
+    """Each model's features with their places: all of them, in order of weights that sum to 1."""
+    _, forest, boosted = _fit_once(t)
+    both = models.feature_importance(forest, models.FOREST_NAME).union(models.feature_importance(boosted, models.BOOSTED_NAME))
+    ranked = ordering.rank_within(both, "model_name", [F.desc("importance_score"), F.col("feature_name")], "place")
+    pairs = F.array_sort(F.collect_list(F.struct("place", "importance_score")))
+    weights = F.transform(pairs, lambda p: p["importance_score"])
+    return ranked.groupBy("model_name").agg(
+        F.countDistinct("feature_name").alias("features"),
+        F.min("place").cast("int").alias("least_place"),
+        F.max("place").cast("int").alias("most_place"),
+        F.round(F.sum("importance_score"), 6).alias("total"),
+        (weights == F.reverse(F.array_sort(weights))).alias("in_order"),
     )
-    return ordering.rank_within(both, "model_name", [F.desc("importance_score"), F.col("feature_name")], "place")
 
 
-@check("ml14_save_and_load")
+@check("ml14_save_and_load", f"SELECT po_id, m AS model_name, true AS is_same FROM (VALUES ('Random Forest'), ('XGBoost')) v(m), {_TEST_ROWS}")
 def _(t: Inputs):
-    train, test = _train_and_test(t)
-    path = models.save_model(_forest(t, train), new_path(t.spark, "model"))
-    return models.score_forest(models.load_model(path), test)
+    """Score and decision of every order before and after the models went through storage."""
+    test, forest, boosted = _fit_once(t)
+
+    def through_storage(model, score):
+        again = models.load_model(models.save_model(model, new_path(t.spark, "model")))
+        before = score(model, test).select("po_id", "model_name", F.struct("prediction", "probability").alias("before"))
+        after = score(again, test).select("po_id", F.struct("prediction", "probability").alias("after"))
+        return before.join(after, "po_id").select("po_id", "model_name", F.col("before").eqNullSafe(F.col("after")).alias("is_same"))
+
+    return through_storage(forest, models.score_forest).union(through_storage(boosted, models.score_boosted))
 
 
 # --- analyst cases --------------------------------------------------------------------

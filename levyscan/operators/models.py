@@ -1,6 +1,11 @@
-"""Training and scoring with Spark ML: no row leaves the cluster."""
+"""Training and scoring with Spark ML: no row leaves the cluster.
 
-from pyspark.ml import Pipeline, PipelineModel
+A forest is fitted in groups of trees, each a job of its own with its own seed, side by side.
+The groups are stages of one pipeline model and vote with equal weight, which is the vote of
+one forest with all their trees. A group that fails is fitted again alone.
+"""
+
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -19,8 +24,11 @@ from levyscan.functions.scalars import band, flag, hash_fraction, hash_number
 from levyscan.operators.keyed import lookup_join, one_per_key
 from levyscan.operators.ordering import number_rows
 from levyscan.operators.projection import fill_features
-from levyscan.sources.staging import shared_folder, stage
+from levyscan.sources.staging import Jobs, shared_folder, stage
 
+#: Rows of a training table that one task reads in each pass.
+ROWS_PER_TASK = 100_000
+_VOTES = "votes_"
 
 
 def feature_matrix(silver: DataFrame) -> DataFrame:
@@ -55,9 +63,13 @@ def with_class_weight(df: DataFrame, label: str = "is_anomalous") -> DataFrame:
     return lookup_join(df, weights, [label], ["po_id"])
 
 
-def _fit(estimator, train: DataFrame, features: list[str]) -> PipelineModel:
+def _training_rows(train: DataFrame, features: list[str]) -> tuple[VectorAssembler, DataFrame]:
+    """The assembler and the assembled rows, written in few files: every pass of a fit is a job,
+    and on a bounded sample its cost is that of starting tasks."""
     assembler = VectorAssembler(inputCols=features, outputCol="features")
-    return Pipeline(stages=[assembler, estimator]).fit(train)
+    wanted = [c for c in ("features", "is_anomalous", "weight") if c in [*train.columns, "features"]]
+    rows = stage(assembler.transform(train).select(*wanted), "train")
+    return assembler, rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
 
 
 def train_forest(
@@ -66,19 +78,31 @@ def train_forest(
     trees: int = 500,
     depth: int = 30,
     seed: int = 42,
+    trees_per_group: int = 25,
 ) -> PipelineModel:
     """Balanced random forest. The depth is the deepest Spark grows, the nearest to no limit.
-    The weighted rows are written once, as each pass over them reads them again."""
-    weighted = stage(with_class_weight(train), "train")
-    estimator = RandomForestClassifier(
-        labelCol="is_anomalous",
-        weightCol="weight",
-        numTrees=trees,
-        maxDepth=depth,
-        featureSubsetStrategy="sqrt",
-        seed=seed,
-    )
-    return _fit(estimator, weighted, features)
+    `trees` is rounded up to whole groups, as all groups have the same vote."""
+    assembler, rows = _training_rows(with_class_weight(train), features)
+    size = min(trees_per_group, trees)
+
+    def group(nth: int):
+        forest = RandomForestClassifier(
+            labelCol="is_anomalous",
+            weightCol="weight",
+            numTrees=size,
+            maxDepth=depth,
+            featureSubsetStrategy="sqrt",
+            seed=seed + nth,
+            maxMemoryInMB=1024,
+            probabilityCol=f"{_VOTES}{nth}",
+            rawPredictionCol="",
+            predictionCol="",
+        )
+        return forest.fit(rows)
+
+    with Jobs(train.sparkSession) as jobs:
+        groups = [jobs.start(lambda nth=nth: group(nth)) for nth in range(-(-trees // size))]
+        return PipelineModel(stages=[assembler, *[g.result() for g in groups]])
 
 
 def train_boosted(
@@ -89,9 +113,10 @@ def train_boosted(
     step: float = 0.05,
     seed: int = 42,
 ) -> PipelineModel:
-    """Boosted trees on 80 % of the rows and features. Lineage is cut every ten rounds."""
-    spark = train.sparkSession
-    shared_folder(spark)
+    """Boosted trees on 80 % of the rows and features. The running predictions are written to
+    the checkpoint folder every ten rounds, so that a lost executor costs those at most."""
+    shared_folder(train.sparkSession)
+    assembler, rows = _training_rows(train, features)
     estimator = GBTClassifier(
         labelCol="is_anomalous",
         maxIter=rounds,
@@ -99,11 +124,10 @@ def train_boosted(
         stepSize=step,
         subsamplingRate=0.8,
         featureSubsetStrategy="0.8",
-        cacheNodeIds=True,
         checkpointInterval=10,
         seed=seed,
     )
-    return _fit(estimator, stage(train, "train"), features)
+    return PipelineModel(stages=[assembler, estimator.fit(rows)])
 
 
 def positive_probability(probability: Column) -> Column:
@@ -119,9 +143,12 @@ def probability_tier(probability: Column) -> Column:
 
 
 def score(model: PipelineModel, df: DataFrame, model_name: str, threshold: float | None = None) -> DataFrame:
-    """Long score table. Without a threshold the model's own decision is kept."""
-    out = model.transform(df).withColumn("probability", positive_probability(F.col("probability")))
-    decision = F.col("prediction").cast("int") if threshold is None else decide(F.col("probability"), threshold)
+    """Long score table. Without a threshold the more probable class is taken."""
+    scored = model.transform(df)
+    votes = [positive_probability(F.col(c)) for c in scored.columns if c.startswith(_VOTES)]
+    probability = sum(votes[1:], votes[0]) / len(votes) if votes else positive_probability(F.col("probability"))
+    out = scored.select("po_id", "is_anomalous", probability.alias("probability"))
+    decision = flag(F.col("probability") > 0.5) if threshold is None else decide(F.col("probability"), threshold)
     return out.select(
         "po_id",
         F.col("is_anomalous").alias("label"),
@@ -154,13 +181,18 @@ def prediction_table(scored: DataFrame, short: str, with_tier: bool = False) ->
 
 
 def feature_importance(model: PipelineModel, model_name: str, features: list[str] = FEATURES) -> DataFrame:
-    """One row per feature: a table as long as the feature list."""
-    weights = model.stages[-1].featureImportances.toArray()
+    """One row per feature: a table as long as the feature list. Groups of a forest count alike."""
+    parts = [s.featureImportances.toArray() for s in model.stages[1:]]
+    weights = sum(parts) / len(parts)
     rows = [(model_name, name, float(w)) for name, w in zip(features, weights)]
     schema = "model_name string, feature_name string, importance_score double"
     return SparkSession.active().createDataFrame(rows, schema)
 
 
+def tree_count(model: PipelineModel) -> int:
+    return sum(len(s.treeWeights) for s in model.stages[1:])
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path
