@@ -51,6 +51,8 @@ LARGE_COLUMN = 8  # from so many classes on, hubs come first
 HUBS = 8
 NEAREST_HUBS = 16  # of each class, by shared columns
 BITMAP_WORDS = 8  # of 64 bits each
+SLICE_BYTES = 1 << 18  # of text at once; words and shingles take some 45 times as much
+COUNTED_AT_ONCE = 500_000  # shingles whose repeats a task counts together
 _LEVEL_STEP = 2
 _LEVELS = 7
 
@@ -80,11 +82,11 @@ def frequent_shingles(docs: DataFrame, longest: int = ORDERED_SHINGLES, least: i
             keep = n > 1
             return pa.record_batch({"key": keys[keep].astype(np.int64), "n": n[keep].astype(np.int64)})
 
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, SLICE_BYTES):
             sets = sh.shingle_sets(batch.column(0))
             held.extend(sets)
             size += sum(map(len, sets))
-            if size > 4_000_000:
+            if size > COUNTED_AT_ONCE:
                 yield flush()
                 held, size = [], 0
         if held:
@@ -133,7 +135,7 @@ def classes(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT) -> Da
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _seen_table(frequent)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE_BYTES):
             numbers, sizes, prefixes, bitmaps, met = [], [], [], [], set()
             for s in sh.shingle_sets(batch.column(1)):
                 n = len(s)
@@ -174,7 +176,7 @@ def _with_sets(docs: DataFrame, described: DataFrame, wanted: DataFrame) -> Data
     """(class, n, shingles) of the wanted classes, read again from one text of each."""
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, SLICE_BYTES):
             sets = [s for s in sh.shingle_sets(batch.column(0)) if len(s)]
             yield pa.record_batch(
                 {
@@ -294,7 +296,7 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     place = docs.columns.index(text_col)
 
     def with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, place):
+        for batch in slices(batches, place, SLICE_BYTES):
             numbers = pa.array([sh.set_number(s) if len(s) else None for s in sh.shingle_sets(batch.column(place))], pa.int64())
             yield batch.append_column("__class", numbers)
 
