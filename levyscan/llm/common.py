@@ -55,6 +55,15 @@ def crc_remainder(column: str, modulus: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+def unstage(*frames: DataFrame) -> None:
+    """Remove the files of written frames whose reading has ended."""
+    for frame in frames:
+        folders = {f.rsplit("/", 1)[0] for f in frame.inputFiles()}
+        for folder in folders:
+            path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Batches cut so that a text column has about `most` bytes in each; one long text
     stays whole."""
@@ -69,4 +78,4 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 21)
             start = stop
 
 
-__all__ = ["BROADCAST_KEYS", "WORD_BREAKS", "WORD_PATTERN", "crc_remainder", "only", "restrict", "slices", "stage", "table"]
+__all__ = ["BROADCAST_KEYS", "WORD_BREAKS", "WORD_PATTERN", "crc_remainder", "only", "restrict", "slices", "stage", "table", "unstage"]

@@ -41,7 +41,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from levyscan.llm import shingles as sh
-from levyscan.llm.common import only, restrict, slices, stage
+from levyscan.llm.common import only, restrict, slices, stage, unstage
 from levyscan.llm.components import connected_components
 
 PERCENT = 75
@@ -161,15 +161,20 @@ def classes(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT) -> Da
 
 
 def _shared_columns(described: DataFrame) -> DataFrame:
-    """(column, class, n, met, hub_0 ...) for the columns in which two classes or more meet;
-    only crowded columns have hubs."""
-    entries = described.filter("prefix is not null").select("class", "n", F.explode("prefix").alias("column"))
+    """(column, class, met, hub_0 ...) for the columns in which two classes or more meet; only
+    crowded columns have hubs. Nothing but the two numbers is shuffled: a class's size is
+    looked up later, for the few rows that are left."""
+    entries = described.filter("prefix is not null").select("class", F.explode("prefix").alias("column"))
     same = Window.partitionBy("column")
     masks = [(i << 60) - (1 << 63) if i >= 8 else i << 60 for i in range(0, 16, 16 // HUBS)]
     hubs = {f"hub_{i}": F.min(F.col("class").bitwiseXOR(F.lit(m))).over(same).bitwiseXOR(F.lit(m)) for i, m in enumerate(masks)}
     met = entries.withColumns({"met": F.count("*").over(same), "least": F.min("class").over(same), "most": F.max("class").over(same), **hubs})
     crowded = F.col("met") > LARGE_COLUMN
-    return met.filter("least < most").select("column", "class", "n", "met", *[F.when(crowded, F.col(h)).alias(h) for h in hubs])
+    return met.filter("least < most").select("column", "class", "met", *[F.when(crowded, F.col(h)).alias(h) for h in hubs])
+
+
+def _sizes(described: DataFrame) -> DataFrame:
+    return described.filter("prefix is not null").select("class", "n").dropDuplicates(["class"])
 
 
 def _with_sets(docs: DataFrame, described: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -194,8 +199,8 @@ def _with_sets(docs: DataFrame, described: DataFrame, wanted: DataFrame) -> Data
 
 
 def _linked(docs: DataFrame, described: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose whole sets overlap enough."""
-    pairs = stage(pairs, "pairs")
+    """Those of the written pairs (a, b) whose whole sets overlap enough. The pairs and what is
+    written for them go again."""
     wanted = stage(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), "wanted")
     sets = stage(_with_sets(docs, described, wanted), "sets")
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("left"))
@@ -203,32 +208,35 @@ def _linked(docs: DataFrame, described: DataFrame, pairs: DataFrame, percent: in
     both = pairs.join(left, "a").join(right, "b")
     overlap = F.size(F.array_intersect("left", "right"))
     union = F.size("left") + F.size("right") - overlap
-    return stage(both.filter(overlap * 100 >= union * percent).select("a", "b"), "linked")
+    linked = stage(both.filter(overlap * 100 >= union * percent).select("a", "b"), "linked")
+    unstage(pairs, wanted, sets)
+    return linked
 
 
-def _hub_pairs(shared: DataFrame) -> DataFrame:
+def _hub_pairs(described: DataFrame, shared: DataFrame) -> DataFrame:
     """Each class of a crowded column with the column's hubs, where they share a good part
     of the prefix. A pair that is passed over here comes up again in the full product."""
     crowded = shared.filter(F.col("met") > LARGE_COLUMN)
     hubs = F.explode(F.array_distinct(F.array(*[f"hub_{i}" for i in range(HUBS)])))
-    pairs = crowded.select("class", "n", hubs.alias("b")).filter("class <> b").groupBy("class", "b").agg(F.count("*").alias("c"), F.max("n").alias("n"))
-    close = pairs.filter(F.col("c") * 10 >= F.col("n") * (100 - PERCENT) / 100 * 3)
+    pairs = crowded.select("class", hubs.alias("b")).filter("class <> b").groupBy("class", "b").agg(F.count("*").alias("c"))
+    close = pairs.join(_sizes(described), "class").filter(F.col("c") * 10 >= F.col("n") * (100 - PERCENT) / 100 * 3)
     place = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("c"), "b"))
     nearest = close.withColumn("place", place).filter(F.col("place") <= NEAREST_HUBS)
-    return nearest.select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")).distinct()
+    return stage(nearest.select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")).distinct(), "pairs")
 
 
 def _product_pairs(described: DataFrame, shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """All pairs of different components that meet in a column and whose bitmaps are near
     enough, with their overlap counts added up and held against the bound."""
-    rooted = shared.select("column", "class", "n").join(
+    rooted = shared.select("column", "class").join(
         roots.withColumnRenamed("node", "class"), "class", "left"
     ).withColumn("root", F.coalesce("root", "class"))
     open_columns = rooted.groupBy("column").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("column")
     still = stage(rooted.join(open_columns, "column", "left_semi").distinct(), "open")
     open_classes = still.select("class").distinct()
-    bitmaps = described.filter("bits is not null").select("class", "bits").join(open_classes, "class", "left_semi").dropDuplicates(["class"])
-    still = stage(still.join(bitmaps, "class"), "open-bits")
+    bitmaps = described.filter("bits is not null").select("class", "n", "bits").join(open_classes, "class", "left_semi").dropDuplicates(["class"])
+    bare, still = still, stage(still.join(bitmaps, "class"), "open-bits")
+    unstage(bare)
     x = still.select("column", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), F.col("bits").alias("bits_a"))
     y = still.select("column", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("bits").alias("bits_b"))
     sizes_fit = (F.least("n_a", "n_b") * 100) >= (F.greatest("n_a", "n_b") * percent)
@@ -241,7 +249,9 @@ def _product_pairs(described: DataFrame, shared: DataFrame, roots: DataFrame, pe
         return F.ceil(F.col(n) * percent / F.lit(100.0) - F.lit(1e-9)) - 1
 
     at_most = F.col("c") + F.greatest(beyond("n_a"), beyond("n_b"))
-    return counts.filter(at_most >= _required(F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+    pairs = stage(counts.filter(at_most >= _required(F.col("n_a"), F.col("n_b"), percent)).select("a", "b"), "pairs")
+    unstage(still, shared)
+    return pairs
 
 
 def _between_roots(links: DataFrame, roots: DataFrame) -> DataFrame:
@@ -257,7 +267,7 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     frequent = frequent_shingles(docs)
     described = stage(classes(docs, frequent, percent), "classes")
     shared = stage(_shared_columns(described), "shared")
-    first = _linked(docs, described, _hub_pairs(shared), percent)
+    first = _linked(docs, described, _hub_pairs(described, shared), percent)
     roots = connected_components(first)
     rest = _linked(docs, described, _product_pairs(described, shared, roots, percent), percent)
     roots = connected_components(_between_roots(rest, roots))
