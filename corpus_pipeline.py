@@ -3,6 +3,11 @@
 Each stage takes the documents that the one before it kept. Its result is written as Parquet
 and read again as the next one's input. Documents keep their columns up to the last stage,
 which returns pieces of token sequences.
+
+Defined results: a text that is null, empty or without letters has no language and goes in the
+first stage; repeated rows and rows of one doc_id are near copies like any others, of which one
+stays; ties between copies go to the least doc_id; a null source is a source of its own; other
+columns are carried along unread up to the last stage; an empty table gives an empty result.
 """
 
 from collections.abc import Callable
@@ -14,29 +19,47 @@ from levyscan.llm import language_id, mixing, ngram_join, packing, secret_markov
 from levyscan.llm.common import stage, table
 
 
+#: Documents that cross to Python at once. Some kilobytes each, they make batches of a few MB on
+#: both sides, whatever the session's own, larger setting.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; those with too narrow a margin go."""
+    _in_small_batches(spark)
     return language_id.identified_rows(docs, language_id.train(docs, F.lit(True)))
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    _in_small_batches(spark)
     return ngram_join.one_per_group(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mark."""
+    _in_small_batches(spark)
     clean = secret_markov.redact(docs, secret_markov.train(docs))
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources ask for."""
+    _in_small_batches(spark)
     return mixing.mixed_rows(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in full sequences."""
+    _in_small_batches(spark)
     return packing.pack_documents(docs)
 
 
