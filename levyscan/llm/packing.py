@@ -168,7 +168,7 @@ def pack_documents(
             return pa.record_batch({n: pa.array(c, t) for n, c, t in zip(names, columns, kinds)})
 
         ids_kind = None
-        for batch in slices(batches, 1, 1 << 22):
+        for batch in slices(batches, 1, 1 << 21):
             ids_kind = batch.column(0).type
             for doc, ids in zip(batch.column(0).to_pylist(), tokenizer.encode(batch.column(1))):
                 held_ids.append(doc)
