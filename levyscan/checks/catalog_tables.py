@@ -1,20 +1,21 @@
 """Queries for sources, sinks, projections, filters, nulls, joins and set operations."""
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from levyscan.checks.registry import Inputs, check
 from levyscan.checks.views import AS_OF, columns_of, hash_fraction
-from levyscan.constants import FEATURES, FILING_QUARTERS
+from levyscan.constants import BOOSTED_NAME, FEATURES, FILING_QUARTERS, FOREST_NAME, RULE_FLAGS
 from levyscan.functions import scalars
-from levyscan.operators import aggregates, evaluation, expansion, keyed, projection, setops
+from levyscan.operators import aggregates, evaluation, expansion, keyed, models, projection, setops
 from levyscan.operators.casework import attach_vendor_risk
-from levyscan.plans import bronze, gold, silver
-from levyscan.schemas import ORDER_FIELDS, VENDOR_FIELDS, raw_schema
-from levyscan.sources import files
-from levyscan.sources.staging import new_path
+from levyscan.plans import bronze, gold, jobs, silver
+from levyscan.schemas import INPUT_FIELDS, ORDER_FIELDS, VENDOR_FIELDS, raw_schema
+from levyscan.sources import files, published
+from levyscan.sources.staging import new_path, stage
 
 _VENDOR_COLUMNS = [name for _, name, _ in VENDOR_FIELDS]
 
@@ -323,3 +324,138 @@ def _(t: Inputs):
     slim = t.raw.vendors.select("vendor_id", "director_pan_1")
     rewritten = t.raw.vendors.filter("status = 'Cancelled'").select("vendor_id", F.lit("SHARED0001").alias("director_pan_1"))
     return setops.replace_rows(slim, rewritten, ["vendor_id"])
+
+
+# --- all inputs as raw files, and the layer jobs ------------------------------------------
+def _raw_files(t: Inputs, name: str) -> str:
+    """A folder of CSV files: the input itself, and lines that cannot be read. Every row gives
+    one line that ends after its first value, and one whose numbers are words (where it has any)."""
+    fields = INPUT_FIELDS[name]
+    raw = _raw_headers(getattr(t.raw, name).select(*[column for _, column, _ in fields]), fields)
+    path = files.export_csv(raw, new_path(t.spark, f"raw-{name}"))
+    header = ",".join(h for h, _, _ in fields)
+    broken = [F.coalesce(F.col(f"`{fields[0][0]}`"), F.lit("none"))]
+    if any(kind != "string" for _, _, kind in fields):
+        broken += [F.lit("\n"), F.lit(",".join("word" for _ in fields))]
+    # One more file, with its own header, as another sender's would have.
+    first = t.spark.createDataFrame([(header,)], "line string").coalesce(1)
+    first.union(raw.coalesce(1).select(F.concat(*broken).alias("line"))).coalesce(1).write.mode("append").text(path)
+    return path
+
+
+_INPUT_VIEWS = {
+    "purchase_orders": "raw_orders",
+    "vendors": "raw_vendors",
+    "vendor_invoices": "raw_invoices",
+    "hsn_rate_schedule": "raw_rates",
+    "cbic_blacklist": "raw_blacklist",
+    "historical_po_values": "raw_history",
+    "ground_truth": "raw_labels",
+}
+
+
+def _register_input(name: str, view: str) -> None:
+    columns = ", ".join(
+        f"{column}::VARCHAR AS {column}" if column == "blacklist_date" else column for _, column, _ in INPUT_FIELDS[name]
+    )
+
+    @check(f"src1_input_{name}", f"SELECT {columns} FROM {view}")
+    def _(t: Inputs):
+        return files.read_checked(t.spark, _raw_files(t, name), INPUT_FIELDS[name], name)[0]
+
+
+for _name, _view in _INPUT_VIEWS.items():
+    _register_input(_name, _view)
+
+
+def _quarantine_sql(name: str, view: str) -> str:
+    numbers = [column for _, column, kind in INPUT_FIELDS[name] if kind != "string"]
+    short = f"SELECT '{name}' AS input, 'number of values' AS reason, count(*) AS n FROM {view}"
+    return f"{short} UNION ALL SELECT '{name}', 'type of {numbers[0]}', count(*) FROM {view}" if numbers else short
+
+
+@check("src1_quarantine", " UNION ALL ".join(_quarantine_sql(n, v) for n, v in _INPUT_VIEWS.items()))
+def _(t: Inputs):
+    rejected = [files.read_checked(t.spark, _raw_files(t, n), INPUT_FIELDS[n], n)[1] for n in _INPUT_VIEWS]
+    counts = [r.groupBy("input", "reason").agg(F.count("*").alias("n")) for r in rejected]
+    return reduce(lambda a, b: a.union(b), counts)
+
+
+@check(
+    "snk2_overwrite_month",
+    """SELECT po_id, CASE WHEN year = 1997 AND month = 3 THEN total_amount + 1 ELSE total_amount END AS total_amount, year, month,
+              NOT (year = 1997 AND month = 3) AS untouched FROM bronze_orders""",
+)
+def _(t: Inputs):
+    """One month is written again; the files of all other months are the same ones as before."""
+    slim = t.orders.select("po_id", "total_amount", "year", "month")
+    path = files.write_partitioned(slim, new_path(t.spark, "by-month"), "year", "month")
+    file = F.regexp_extract("_metadata.file_path", "[^/]+$", 0)
+    before = stage(t.spark.read.parquet(path).select(file.alias("file")).distinct(), "files")
+    month = t.spark.read.parquet(path).filter("year = 1997 and month = 3")
+    again = stage(month.withColumn("total_amount", F.col("total_amount") + 1), "month")
+    files.overwrite_values(again.select(*slim.columns), path, "year", "month")
+    now = t.spark.read.parquet(path).select("*", file.alias("file"))
+    old = F.broadcast(before.withColumn("untouched", F.lit(True)))
+    return now.join(old, "file", "left").select(*slim.columns, F.coalesce("untouched", F.lit(False)).alias("untouched"))
+
+
+@check("pl3_silver_job", "SELECT * FROM silver")
+def _(t: Inputs):
+    """Raw files to bronze to silver, each layer published and read back."""
+    return published.read_layer(t.spark, _published_silver(t), "silver", "orders")
+
+
+def _published_silver(t: Inputs) -> str:
+    raw, base = new_path(t.spark, "raw"), new_path(t.spark, "layers")
+    for name, fields in INPUT_FIELDS.items():
+        files.export_csv(_raw_headers(getattr(t.raw, name).select(*[c for _, c, _ in fields]), fields), f"{raw}/{name}")
+    jobs.bronze_job(t.spark, raw, base, AS_OF)
+    jobs.silver_job(t.spark, base, AS_OF)
+    return base
+
+
+@check("ml7_prediction_tables", """SELECT po_id, label AS actual, prediction, probability, model_name FROM scores""")
+def _(t: Inputs):
+    """Both models' prediction tables as catalog tables, read back."""
+    found = []
+    for name, short in ((FOREST_NAME, "rf"), (BOOSTED_NAME, "xgb")):
+        scores = t.scores_of(name)
+        saved = files.save_table(models.prediction_table(scores, short), f"{short}_predictions_{uuid.uuid4().hex}")
+        back = files.read_table(t.spark, saved)
+        found.append(back.withColumnsRenamed({f"{short}_prediction": "prediction", f"{short}_probability": "probability"}))
+    return found[0].unionByName(found[1])
+
+
+@check(
+    "flt4_raised_flags",
+    " UNION ALL ".join(f"SELECT po_id, '{f}' AS listing FROM silver WHERE {f} = 1" for f in RULE_FLAGS)
+    + " UNION ALL SELECT po_id, 'severity Critical' FROM silver WHERE severity = 'Critical'",
+)
+def _(t: Inputs):
+    return projection.raised_listings(t.silver_table)
+
+
+@check(
+    "ag8_distinct_sketches",
+    """SELECT year, month, count(DISTINCT vendor_id) AS vendors, count(DISTINCT buyer_gstin) AS buyers, true AS vendors_close, true AS buyers_close
+       FROM bronze_orders GROUP BY GROUPING SETS ((year, month), ())""",
+)
+def _(t: Inputs):
+    """Exact distinct counts per month and over all, and whether the sketches are within 5 %."""
+    columns = ["vendor_id", "buyer_gstin"]
+    sketches = aggregates.distinct_sketches(t.orders, ["year", "month"], columns)
+    close = aggregates.merged_estimates(sketches, ["year", "month"], columns)
+    exact = t.orders.groupingSets([["year", "month"], []], "year", "month").agg(
+        F.countDistinct("vendor_id").alias("vendors"), F.countDistinct("buyer_gstin").alias("buyers")
+    )
+    same = exact["year"].eqNullSafe(close["year"]) & exact["month"].eqNullSafe(close["month"])
+    joined = exact.join(close, same)
+
+    def near(estimate: str, count: str):
+        return (F.abs(F.col(estimate) - F.col(count)) <= F.greatest(F.lit(2), F.col(count) * 0.05))
+
+    return joined.select(
+        exact["year"], exact["month"], "vendors", "buyers",
+        near("vendor_id_estimate", "vendors").alias("vendors_close"), near("buyer_gstin_estimate", "buyers").alias("buyers_close"),
+    )

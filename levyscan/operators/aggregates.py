@@ -137,3 +137,16 @@ def compliance_by_tier(risk: DataFrame) -> DataFrame:
         F.count("*").alias("n_vendors"),
         exact_avg(F.col("filing_compliance_rate")).alias("avg_compliance"),
     )
+
+
+def distinct_sketches(df: DataFrame, by: list[str], columns: list[str], lg_k: int = 12) -> DataFrame:
+    """One row per group with a sketch of each column's distinct values. A sketch has a few
+    kilobytes whatever the number of values, and sketches of several groups, days or tables can
+    be merged: the distinct count of a year needs no second pass over its rows."""
+    return df.groupBy(*by).agg(*[F.hll_sketch_agg(c, lg_k).alias(f"{c}_sketch") for c in columns])
+
+
+def merged_estimates(sketches: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """Estimated distinct counts per group, and over all groups in a row with null groups."""
+    merged = sketches.groupingSets([by, []], *by).agg(*[F.hll_union_agg(f"{c}_sketch").alias(f"{c}_sketch") for c in columns])
+    return merged.select(*by, *[F.hll_sketch_estimate(f"{c}_sketch").alias(f"{c}_estimate") for c in columns])

@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from levyscan.constants import CLEAN_CODE, FEATURES, FILING_QUARTERS
+from levyscan.constants import CLEAN_CODE, FEATURES, FILING_QUARTERS, RULE_FLAGS
 from levyscan.functions.scalars import as_of_date
 from levyscan.schemas import ORDER_NUMBERS
 
@@ -66,6 +66,14 @@ def keep_matching(df: DataFrame, condition: Column, *columns: str) -> DataFrame:
     return df.filter(condition).select(*columns)
 
 
+def raised_listings(silver: DataFrame, flags: list[str] = RULE_FLAGS, severity: str = "Critical") -> DataFrame:
+    """(po_id, listing) for each exception listing that an order is on: every raised flag, and
+    the given severity. All listings come from one pass over the flag columns."""
+    raised = [F.when(F.col(f) == 1, F.lit(f)) for f in flags]
+    raised.append(F.when(F.col("severity") == severity, F.lit(f"severity {severity}")))
+    return silver.select("po_id", F.explode(F.array_compact(F.array(*raised))).alias("listing"))
+
+
 def fill_vendor_gaps(df: DataFrame) -> DataFrame:
     """Missing composition and filing flags count as 0 (the columns are numeric by now)."""
     return df.fillna({c: 0 for c in ["composition_flag", *FILING_QUARTERS]})

@@ -72,6 +72,31 @@ BLACKLIST_FIELDS = [
     ("Case Reference", "case_reference", "string"),
 ]
 
+HISTORY_FIELDS = [
+    ("Vendor ID", "vendor_id", "string"),
+    ("Year-Month", "year_month", "string"),
+    ("Total PO Value", "total_po_value", "double"),
+    ("PO Count", "po_count", "bigint"),
+]
+
+LABEL_FIELDS = [
+    ("PO ID", "po_id", "string"),
+    ("Anomaly Code", "anomaly_code", "string"),
+    ("Is Anomalous", "is_anomalous", "int"),
+    ("Severity", "severity", "string"),
+]
+
+#: The seven inputs by name.
+INPUT_FIELDS = {
+    "purchase_orders": ORDER_FIELDS,
+    "vendors": VENDOR_FIELDS,
+    "vendor_invoices": INVOICE_FIELDS,
+    "hsn_rate_schedule": RATE_FIELDS,
+    "cbic_blacklist": BLACKLIST_FIELDS,
+    "historical_po_values": HISTORY_FIELDS,
+    "ground_truth": LABEL_FIELDS,
+}
+
 # The numeric columns that the wide order table relies on.
 ORDER_NUMBERS = {name: kind for _, name, kind in ORDER_FIELDS if kind != "string"}
 
