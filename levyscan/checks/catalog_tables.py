@@ -459,3 +459,11 @@ def _(t: Inputs):
         exact["year"], exact["month"], "vendors", "buyers",
         near("vendor_id_estimate", "vendors").alias("vendors_close"), near("buyer_gstin_estimate", "buyers").alias("buyers_close"),
     )
+
+
+@check("ag12_written_counts", " UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {v}" for n, v in _INPUT_VIEWS.items()))
+def _(t: Inputs):
+    """Rows of each written input, as the layer's own table of metrics has them."""
+    base = new_path(t.spark, "layers")
+    published.write_layer(t.spark, base, "inputs", {name: getattr(t.raw, name) for name in _INPUT_VIEWS})
+    return published.read_layer(t.spark, base, "inputs", "metrics")

@@ -32,10 +32,10 @@ def gold_vendor_risk(silver: DataFrame) -> DataFrame:
 
 def order_drilldown(flags: DataFrame, risk: DataFrame, responses: DataFrame, po_id: str) -> DataFrame:
     """Everything known about one order: flags, scores, vendor tier and the analyst's view.
-    The key filter reaches all three inputs before they are joined; the order id is unique,
-    so the vendor list that thins out the risk table has one row at most."""
+    The key filter reaches all three inputs before they are joined. The vendor list that thins
+    out the risk table is as long as the order's rows; Spark picks the join by its size."""
     flagged = flags.filter(F.col("po_id") == po_id)
-    its_vendor = F.broadcast(flagged.select("vendor_id"))
+    its_vendor = flagged.select("vendor_id").distinct()
     one = attach_vendor_risk(flagged, risk.join(its_vendor, "vendor_id", "left_semi"))
     parsed = parse_responses(responses.filter(F.col("po_id") == po_id))
     return one.join(parsed, "po_id", "left")

@@ -57,13 +57,22 @@ def current(spark: SparkSession, base: str, layer: str) -> str:
     return f"{_layer(base, layer)}/{found[-1]}"
 
 
+def _write_counted(df: DataFrame, path: str, name: str) -> tuple[str, int]:
+    """Write a table and count the rows that are in its files. The count reads file footers
+    alone. (`observe` would count while writing, but once it is used no Spark ML model can
+    score in that session any more: the session can then no longer be serialised.)"""
+    df.write.parquet(path)
+    return name, df.sparkSession.read.schema(df.schema).parquet(path).count()
+
+
 def write_layer(spark: SparkSession, base: str, layer: str, tables: dict[str, DataFrame], also: Callable[[str], None] | None = None) -> str:
-    """Write the tables side by side, let `also` add files of its own to the folder, publish."""
+    """Write the tables side by side, let `also` add files of its own to the folder, publish.
+    The table `metrics` (table, rows) tells what was written; no table is scanned again for it."""
     folder = new_version(base, layer)
     with Jobs(spark) as jobs:
-        written = [jobs.start(lambda df=df, name=name: df.write.parquet(f"{folder}/{name}")) for name, df in tables.items()]
-        for job in written:
-            job.result()
+        written = [jobs.start(lambda df=df, name=name: _write_counted(df, f"{folder}/{name}", name)) for name, df in tables.items()]
+        counts = [job.result() for job in written]
+    spark.createDataFrame(counts, "table string, rows long").coalesce(1).write.parquet(f"{folder}/metrics")
     if also is not None:
         also(folder)
     return publish(spark, folder)
