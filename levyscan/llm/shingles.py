@@ -2,7 +2,7 @@
 
 Words are what stands between the blanks of `WORD_BREAKS`, with A-Z in lower case. A
 shingle is five words in a row; a text of fewer words is one shingle. Each word becomes a
-64-bit number from its bytes, each shingle one of 60 bits from its words.
+64-bit number, a hash of its bytes, each shingle one of 60 bits from its words.
 """
 
 import numpy as np
@@ -18,10 +18,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[9, 10, 11, 12, 13, 32]] = True
-_VALUE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
 _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_powers = np.cumprod(np.full(1024, _BASE, dtype=np.uint64))
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -30,14 +27,6 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _power_of(places: np.ndarray) -> np.ndarray:
-    global _powers
-    most = int(places.max(initial=0))
-    if most >= len(_powers):
-        _powers = np.cumprod(np.full(2 * most, _BASE, dtype=np.uint64))
-    return _powers[places]
-
-
 def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row and where each begins; a null is empty."""
     texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
@@ -65,20 +54,29 @@ def find_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return low, starts, ends, np.diff(np.searchsorted(starts, at))
 
 
+def distinct_words(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct word stands first in the list, and which distinct word each one
+    is. Words are told apart by their bytes."""
+    n = len(starts)
+    bounds = np.empty(2 * n, np.int64)
+    bounds[::2], bounds[1::2] = starts, ends
+    # Words and what stands between them lie one behind the other, as Arrow wants them.
+    spelled = pa.LargeBinaryArray.from_buffers(pa.large_binary(), 2 * n - 1, [None, pa.py_buffer(bounds), pa.py_buffer(low)])
+    coded = np.asarray(spelled.dictionary_encode().indices)[::2]
+    first = np.full(int(coded.max()) + 1, n, np.int64)
+    first[coded[::-1]] = np.arange(n - 1, -1, -1)
+    used = first < n
+    return first[used], (np.cumsum(used) - 1)[coded]
+
+
 def number_words(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit number for each word from its bytes and their places."""
+    """A 64-bit number for each word, a hash of its bytes."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    place = np.arange(len(low))
-    shift = np.zeros(len(low), np.int64)
-    shift[starts] = np.diff(starts, prepend=0)
-    place -= np.cumsum(shift)
-    breaks = _BREAK[low]
-    place[breaks] = 0
-    np.maximum(place, 0, out=place)
-    values = _VALUE[low] * _power_of(place)
-    values[breaks] = 0
-    return _mix(np.add.reduceat(values, starts))
+    first, which = distinct_words(low, starts, ends)
+    view = memoryview(low)
+    numbers = [xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+    return np.array(numbers, np.uint64)[which]
 
 
 def word_numbers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

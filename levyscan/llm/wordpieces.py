@@ -17,7 +17,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from levyscan.llm.shingles import _bytes_of, find_words, number_words
+from levyscan.llm.shingles import _bytes_of, distinct_words, find_words
 
 MEMO_WORDS = 100_000
 _NONE = np.int32(2**31 - 1)
@@ -179,7 +179,7 @@ class WordTokenizer:
         low, starts, ends, counts = find_words(texts)
         if not len(starts):
             return [np.empty(0, "<u4")] * len(texts)
-        _, first, place = np.unique(number_words(low, starts, ends), return_index=True, return_inverse=True)
+        first, place = distinct_words(low, starts, ends)
         ids, sizes = self._distinct(low, starts[first], ends[first])
         of_word = sizes[place]
         flat = ids[_spans((np.cumsum(sizes) - sizes)[place], of_word)]
