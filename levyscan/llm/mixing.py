@@ -144,21 +144,51 @@ def mixed_rows(
 ) -> DataFrame:
     """The rows of `docs` as often as the mix takes them, whole: the document in which a
     source's budget ends is in if at least half of it fits. The rows stay where they are; each
-    source's last key is all that travels to them."""
+    source's last key is all that travels to them. Only rows of that key, equal in id and text,
+    are counted together, so that as many of them are in as fit."""
     named = only(docs, doc_id=id_col, text=text_col, source=source_col)
     drawn, marks = _planned(named, weights, share, most, salt)
     _, edge = _edges(drawn, marks)
-    fits = edge.filter(F.col("ahead") + F.col("size") / 2 <= F.col("budget")).filter("budget > 0").groupBy("source").agg(F.max("key").alias("last_key"))
+    fits = F.col("ahead") + F.col("size") / 2 <= F.col("budget")
+    per_key = edge.filter("budget > 0").groupBy("source", "key").agg(F.count_if(fits).alias("n"), F.count("*").alias("of"))
+    last = per_key.filter("n > 0").groupBy("source").agg(F.max(F.struct("key", "n", "of")).alias("end"))
     keyed = stage(
-        marks.join(fits, F.col("_source").eqNullSafe(F.col("source")), "left")
-        .select(F.col("_source").alias("__source"), F.col("epochs").alias("__epochs"), F.col("budget").alias("__budget"), F.col("last").alias("__last"), F.col("last_key").alias("__last_key")),
+        marks.join(last, F.col("_source").eqNullSafe(F.col("source")), "left")
+        .select(
+            F.col("_source").alias("__source"),
+            F.col("epochs").alias("__epochs"),
+            F.col("budget").alias("__budget"),
+            F.col("last").alias("__last"),
+            F.col("end.key").alias("__last_key"),
+            F.col("end.n").alias("__last_rows"),
+            F.col("end.of").alias("__last_of"),
+        ),
         "last-keys",
     )
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
     inner = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{source_col}`").alias("source"), row)
     made = _draw(inner, salt)
     inner = inner.select("__row", "source", *[made[c].alias(c) for c in ("key", "bucket", "size")])
-    joined = inner.join(F.broadcast(keyed), F.col("source").eqNullSafe(F.col("__source")))
-    selected = (F.col("__budget") > 0) & (F.col("__last").isNull() | (F.col("bucket") < F.col("__last")) | ((F.col("bucket") == F.col("__last")) & (F.col("key") <= F.coalesce("__last_key", F.lit(-1.0)))))
-    copies = F.when(F.col("size") > 0, F.col("__epochs") + selected.cast("int")).otherwise(0).cast("int")
-    return joined.withColumn("__copies", copies).filter("__copies > 0").select("__row", F.explode(F.sequence(F.lit(1), "__copies")).alias("__copy")).select("__row.*")
+    joined = inner.join(F.broadcast(keyed), F.col("source").eqNullSafe(F.col("__source"))).filter("size > 0")
+    in_last = (F.col("__budget") > 0) & (F.col("bucket") == F.col("__last")) & F.col("__last_key").isNotNull()
+    before_last = (F.col("__budget") > 0) & (F.col("__last").isNull() | (F.col("bucket") < F.col("__last")))
+    at_end = F.coalesce(in_last & (F.col("key") == F.col("__last_key")) & (F.col("__last_rows") < F.col("__last_of")), F.lit(False))
+    selected = F.coalesce(before_last | (in_last & (F.col("key") <= F.col("__last_key"))), F.lit(False))
+
+    def repeated(frame: DataFrame, copies: Column) -> DataFrame:
+        counted = frame.withColumn("__copies", copies.cast("int")).filter("__copies > 0")
+        return counted.select("__row", F.explode(F.sequence(F.lit(1), "__copies")).alias("__copy")).select("__row.*")
+
+    rest = repeated(joined.filter(~at_end), F.col("__epochs") + selected.cast("int"))
+    if keyed.filter("__last_rows < __last_of").isEmpty():
+        return rest
+    # Of the rows that tie where a budget ends, not all fit: equal ones are counted, and the
+    # first `__last_rows` of them, by a digest of all columns, are in once more.
+    ties = joined.filter(at_end).withColumn("__digest", F.sha2(F.to_json("__row").cast("binary"), 256))
+    groups = ties.groupBy("__source", "__digest").agg(
+        F.count("*").alias("__n"), F.first("__row").alias("__row"), F.first("__epochs").alias("__epochs"), F.first("__last_rows").alias("__last_rows")
+    )
+    ahead = Window.partitionBy("__source").orderBy("__digest").rowsBetween(Window.unboundedPreceding, -1)
+    room = F.col("__last_rows") - F.coalesce(F.sum("__n").over(ahead), F.lit(0))
+    groups = groups.withColumn("__in", F.greatest(F.least(F.col("__n"), room), F.lit(0)))
+    return rest.unionByName(repeated(groups, F.col("__epochs") * F.col("__n") + F.col("__in")))
