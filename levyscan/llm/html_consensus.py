@@ -23,7 +23,8 @@ empty table; other columns are not read.
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,8 @@ from pyspark.sql.window import Window
 from levyscan.llm.common import only, slices, stage
 
 TOP_PATHS = 3
+#: Deeper steps than this no longer add to a container's score.
+MOST_DEPTH = 20
 BROADCAST_HOSTS = 200_000
 
 # Tags by what they mean for the text.
@@ -45,28 +48,97 @@ CONTAINERS = frozenset("article main section div td body".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A new block ends these where they are still open.
 IMPLIED = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-BOILERPLATE = re.compile(
-    r"(?:^|[-_\s])(?:nav|navbar|navigation|menu|header|masthead|footer|sidebar|side-?bar|aside|widget|notice|cookies?|consent|gdpr|banner|ads?|advert\w*|adsbygoogle|promo\w*|sponsor\w*|form|login|signup|comments?|comment-?list|replies|disqus|respond|discussion|share|sharing|social|related|recommended|subscribe|newsletter|breadcrumbs?|pagination|pager|popup|modal|toolbar|copyright|skip-?link)(?:$|[-_\s])",
-    re.I,
+#: Names of classes and ids that mark boilerplate, and those that go with them in compounds
+#: such as site-header or ad-slot; any other part (ad-hoc-report, share-price) makes it a name
+#: of its own, on which the votes decide.
+BOILERPLATE = frozenset(
+    """nav navbar navigation menu header masthead footer sidebar aside widget widgets notice cookie cookies consent gdpr banner ad ads adv advert adverts advertisement advertising adsbygoogle
+    promo promos promotion sponsor sponsored sponsors form login signup comment comments commentlist replies disqus respond discussion share sharing social related recommended subscribe newsletter
+    breadcrumb breadcrumbs pagination pager popup modal toolbar copyright skiplink""".split()
+)
+COMPANIONS = frozenset(
+    """site page main global top bottom left right upper lower primary secondary mobile desktop sticky fixed bar side box wrapper wrap container holder inner outer area section block list item items
+    group row col column panel slot unit links link buttons button icons icon text content message overlay toggle thread post posts article articles entry blog reader readers user users search skip
+    google media email policy law eu the this js widget""".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
+#: A quote opens a value only behind an equals sign.
+_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*"[^"]*(?:"|\Z)|=\s*'[^']*(?:'|\Z)|=)*)(?:>|\Z)""", re.S)
 #: What ends an element whose content is no markup, whatever stands in it.
 _CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in RAW}
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+#: One attribute, name and value, so that a value is never searched for names.
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
+_PARTS = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"\d+")
 
 
-@dataclass
+@dataclass(slots=True)
 class _Node:
+    """An open or closed element; `path` is a number of its page's `Paths`."""
+
     tag: str
-    path: str
+    path: int
     skipped: bool
     link: bool
-    score: float = 0.0
-    link_chars: int = 0
-    own: list = field(default_factory=list)  # numbers of the blocks inside
+    first: int = 0  # its blocks: from this number
+    stop: int = 0  # to before this one
+
+
+class Paths:
+    """The paths of a page's elements as a tree: each has a parent, a last step and a depth,
+    so that deep pages need no long texts."""
+
+    def __init__(self) -> None:
+        self.number: dict[tuple[int, str], int] = {}
+        self.parent, self.step, self.depth = [-1], [""], [-1]
+
+    def under(self, parent: int, step: str) -> int:
+        found = self.number.setdefault((parent, step), len(self.parent))
+        if found == len(self.parent):
+            self.parent.append(parent)
+            self.step.append(step)
+            self.depth.append(self.depth[parent] + 1)
+        return found
+
+    def name(self, path: int) -> str:
+        steps = []
+        while path:
+            steps.append(self.step[path])
+            path = self.parent[path]
+        return "/".join(reversed(steps))
+
+    def find(self, name: str) -> int | None:
+        path: int | None = 0
+        for step in name.split("/"):
+            path = self.number.get((path, step))
+            if path is None:
+                return None
+        return path
+
+
+class Page:
+    """What was read of a page: its blocks, its containers, and sums over the blocks."""
+
+    def __init__(self, blocks: list[str], links: list[int], nodes: list[_Node], paths: Paths):
+        self.blocks, self.nodes, self.paths = blocks, nodes, paths
+        self.chars = [0, *accumulate(map(len, blocks))]
+        self.links = [0, *accumulate(links)]
+        self.marks = [0, *accumulate(b.count(".") + b.count(",") for b in blocks)]
+
+    def score(self, node: _Node) -> float:
+        """Text in sentences counts, text in links counts against; deep containers that hold
+        all of it win over wide ones."""
+        chars, links, marks = (s[node.stop] - s[node.first] for s in (self.chars, self.links, self.marks))
+        if not chars:
+            return 0.0
+        likely = {"article": 1.5, "main": 1.3, "body": 0.6}.get(node.tag, 1.0)
+        return likely * (chars - 2.0 * links + 10.0 * marks) * (1.0 + 0.01 * min(self.paths.depth[node.path], MOST_DEPTH))
+
+
+def _marks_boilerplate(name: str) -> bool:
+    parts = [p.lower() for p in _PARTS.split(name) if p]
+    return any(p in BOILERPLATE for p in parts) and all(p in BOILERPLATE or p in COMPANIONS or p.isdigit() for p in parts)
 
 
 def _boilerplate(tag: str, attributes: dict[str, str]) -> bool:
@@ -76,19 +148,30 @@ def _boilerplate(tag: str, attributes: dict[str, str]) -> bool:
         return True
     if tag in ("body", "html", "article", "main"):
         return False
-    return any(BOILERPLATE.search(attributes.get(a, "")) for a in ("class", "id"))
+    return any(_marks_boilerplate(name) for a in ("class", "id") for name in attributes.get(a, "").split())
+
+
+def _attributes(source: str) -> dict[str, str]:
+    """Names in lower case with their values; of repeated names the first counts."""
+    found: dict[str, str] = {}
+    for a in _ATTRIBUTE.finditer(source):
+        found.setdefault(a[1].lower(), html.unescape(a[2] or a[3] or a[4] or ""))
+    return found
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
     names = sorted(_DIGITS.sub("0", c.lower()) for c in attributes.get("class", "").split())
-    return f"{tag}.{names[0]}" if names else tag
+    return (f"{tag}.{names[0]}" if names else tag).replace("/", "|")
 
 
-def read(page: str) -> tuple[list[str], list[_Node]]:
-    """The blocks of a page and its containers, each with the blocks that it holds."""
+def read(page: str) -> Page:
+    """One pass, in time and memory that grow with the page, however deep it nests."""
     blocks: list[str] = []
+    block_links: list[int] = []
     nodes: list[_Node] = []
-    stack: list[_Node] = [_Node("", "", False, False)]
+    paths = Paths()
+    stack: list[_Node] = [_Node("", 0, False, False)]
+    open_at: dict[str, list[int]] = {}  # where in the stack elements of a tag are open
     part: list[str] = []
     links = 0
 
@@ -97,13 +180,15 @@ def read(page: str) -> tuple[list[str], list[_Node]]:
         text = " ".join("".join(part).split())
         part.clear()
         if text:
-            for node in stack:
-                if node.tag in CONTAINERS:
-                    node.own.append(len(blocks))
-                    node.link_chars += links
             blocks.append(text)
+            block_links.append(links)
         links = 0
 
+    def pop() -> None:
+        node = stack.pop()
+        open_at[node.tag].pop()
+        node.stop = len(blocks)
+
     def say(text: str) -> None:
         nonlocal links
         if text and not stack[-1].skipped:
@@ -120,11 +205,12 @@ def read(page: str) -> tuple[list[str], list[_Node]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None)
-            if place is not None:
-                if any(n.tag in BLOCKS or n.tag in SKIPPED for n in stack[place:]):
+            if open_at.get(tag):
+                place = open_at[tag][-1]
+                if any(stack[i].tag in BLOCKS or stack[i].tag in SKIPPED for i in range(place, len(stack))):
                     close_block()
-                del stack[place:]
+                while len(stack) > place:
+                    pop()
             continue
         if tag == "br":
             say(" ")
@@ -136,11 +222,12 @@ def read(page: str) -> tuple[list[str], list[_Node]]:
         if tag in BLOCKS or tag in SKIPPED:
             close_block()
         if stack[-1].tag in IMPLIED.get(tag, ()):
-            stack.pop()
-        attributes = {a[1].lower(): a[2] or a[3] or a[4] or "" for a in _ATTRIBUTE.finditer(m[3] or "")}
+            pop()
+        attributes = _attributes(m[3] or "")
         above = stack[-1]
-        step = _step(tag, attributes)
-        node = _Node(tag, step if tag == "body" else f"{above.path}/{step}" if above.path else step, above.skipped or _boilerplate(tag, attributes), above.link or tag == "a")
+        path = paths.under(0 if tag == "body" else above.path, _step(tag, attributes))
+        node = _Node(tag, path, above.skipped or _boilerplate(tag, attributes), above.link or tag == "a", len(blocks))
+        open_at.setdefault(tag, []).append(len(stack))
         stack.append(node)
         if tag in CONTAINERS and not node.skipped:
             nodes.append(node)
@@ -149,31 +236,22 @@ def read(page: str) -> tuple[list[str], list[_Node]]:
             at = close.start() if close else len(page)
     say(page[at:])
     close_block()
-    return blocks, nodes
-
-
-def score(node: _Node, blocks: list[str]) -> float:
-    """Text in sentences counts, text in links counts against; deep containers that hold all
-    of it win over wide ones."""
-    inside = [blocks[i] for i in node.own]
-    chars = sum(map(len, inside))
-    if not chars:
-        return 0.0
-    marks = sum(b.count(".") + b.count(",") for b in inside)
-    likely = {"article": 1.5, "main": 1.3, "body": 0.6}.get(node.tag, 1.0)
-    return likely * (chars - 2.0 * node.link_chars + 10.0 * marks) * (1.0 + 0.01 * node.path.count("/"))
+    while len(stack) > 1:
+        pop()
+    return Page(blocks, block_links, nodes, paths)
 
 
 def container_votes(page: str) -> list[tuple[str, float]]:
     """(path, share) of a page's best containers, the best with 1."""
-    blocks, nodes = read(page)
-    best: dict[str, float] = {}
-    for node in nodes:
-        s = score(node, blocks)
+    found = read(page)
+    best: dict[int, float] = {}
+    for node in found.nodes:
+        s = found.score(node)
         if s > 0:
             best[node.path] = best.get(node.path, 0.0) + s
+    # Of paths with equal scores, the first on the page.
     top = sorted(best.items(), key=lambda p: (-p[1], p[0]))[:TOP_PATHS]
-    return [(path, s / top[0][1]) for path, s in top]
+    return [(found.paths.name(path), s / top[0][1]) for path, s in top]
 
 
 def extract(page: str | None, paths: list[str]) -> str:
@@ -181,15 +259,20 @@ def extract(page: str | None, paths: list[str]) -> str:
     best container."""
     if not page:
         return ""
-    blocks, nodes = read(page)
-    for path in paths:
-        chosen = sorted({i for n in nodes if n.path == path for i in n.own})
+    found = read(page)
+    for name in paths:
+        path = found.paths.find(name)
+        chosen, stop = [], 0
+        for n in found.nodes if path is not None else ():
+            if n.path == path:  # in page order; one of them may hold the next one
+                chosen += found.blocks[max(n.first, stop) : n.stop]
+                stop = max(stop, n.stop)
         if chosen:
-            return "\n".join(blocks[i] for i in chosen)
-    best = max(nodes, key=lambda n: score(n, blocks), default=None)
-    if best is not None and score(best, blocks) > 0:
-        return "\n".join(blocks[i] for i in best.own)
-    return "\n".join(blocks) if not nodes else ""
+            return "\n".join(chosen)
+    best = max(found.nodes, key=found.score, default=None)
+    if best is not None and found.score(best) > 0:
+        return "\n".join(found.blocks[best.first : best.stop])
+    return "\n".join(found.blocks) if not found.nodes else ""
 
 
 def host_of(url: Column) -> Column:

@@ -1,6 +1,7 @@
 """Small tables with nulls, empty and long texts, ties, repeated rows and clashing names."""
 
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -96,6 +97,17 @@ def test_word_ids_equal_the_library():
     assert [i.tolist() for i in ours.encode(pa.array(texts))] == want
 
 
+def test_words_that_collide_in_linear_hashes(spark):
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    tokenizer = WordTokenizer(default_tokenizer_path())
+    for ids, text in zip(tokenizer.encode(pa.array([f"{a} {b}", b])), (f"{a} {b}", b)):
+        assert ids.tolist() == tokenizer.whole(text).tolist()
+    got = ngram_join.jaccard_components(spark.createDataFrame([(1, a), (2, b), (3, a.upper())], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 1}
+
+
 def test_packing_is_a_round_trip(docs, empty):
     rows = packing.pack_documents(docs, with_ids=True).collect()
     spans = {}
@@ -129,6 +141,19 @@ def test_mixing(docs, empty):
     assert mixing.mixed_rows(docs).columns == docs.columns
 
 
+def test_mixed_rows_that_tie(spark):
+    rows = [(7, "one two three four five six seven eight nine ten", "a", i % 3) for i in range(40)] + [(i, prose(i, 10), "b", 0) for i in range(100, 140)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int")
+    goal = mixing.targets([("a", 400), ("b", 400)])
+    got = mixing.mixed_rows(frame)
+    assert got.columns == frame.columns
+    words = Counter()
+    for r in got.collect():
+        words[r.source] += len(r.text.split())
+    assert all(abs(words[s] - goal[s]) <= 10 for s in goal), (words, goal)
+    assert sorted(mixing.mixed_rows(frame.repartition(5)).collect()) == sorted(got.collect())
+
+
 def test_language(spark, docs, empty):
     french = " ".join(["être à la forêt où le garçon près de élève déjà"] * 30)
     rows = [(i, prose(i, 200) if i % 2 else french + f" {i}", "en" if i % 2 else "fr") for i in range(40)]
@@ -236,6 +261,49 @@ def test_pages_with_scripts(script):
     assert html_consensus.extract(f"<body><p>Text.</p><script>{script}", []) == "Text."
 
 
+@pytest.mark.parametrize(
+    "opening, kept",
+    [
+        ("<article style='overflow:hidden'>", True),
+        ("<article title='a hidden valley'>", True),
+        ("<article data-hidden=false>", True),
+        ("<div data-id='nav'>", True),
+        ("<div class='ad-hoc-report'>", True),
+        ("<div class='share-price form-factor'>", True),
+        ("<div title=it's>", True),
+        ("<div title='a > b' class=story>", True),
+        ("<div class='story site-header'>", False),
+        ("<div id=cookieNotice>", False),
+        ("<div hidden>", False),
+        ("<div class='w-1/2'>", True),
+    ],
+)
+def test_pages_by_attributes(opening, kept):
+    page = f"<body>{opening}<p>It is here, all of it.</p></{opening[1:].split()[0].rstrip('>')}><p>Else.</p></body>"
+    assert ("It is here, all of it." in html_consensus.extract(page, [])) == kept
+    if kept:
+        path = html_consensus.container_votes(page)[0][0]
+        assert "It is here" in html_consensus.extract(page, [path])
+
+
+def test_deep_pages_take_time_in_proportion():
+    deep = "<body>" + "<div class=a>" * 50_000 + "<p>At the bottom.</p>" + "</section>" * 1_000
+    begun = time.process_time()
+    assert html_consensus.extract(deep, []) == "At the bottom."
+    assert time.process_time() - begun < 2
+    cut = "<body>" + "".join(f"<div><p>Part {i}, read.</p>" for i in range(300))
+    assert html_consensus.extract(cut, []).count("\n") > 250
+
+
+def test_page_rows(spark):
+    page = "<body><article><p>Same, same.</p></article></body>"
+    schema = "page_id long, url string, html string, text string, host string, paths int, n_chars int"
+    frame = spark.createDataFrame([(1, "http://a/1", page, "t", "h", 1, 1), (1, "http://a/1", page, "t", "h", 1, 1), (None, None, page, None, None, None, None)], schema)
+    got = html_consensus.extract_pages(frame)
+    assert got.columns == ["page_id", "url", "text", "n_chars"] and [r.text for r in got.collect()] == ["Same, same."] * 3
+    assert html_consensus.extract_pages(frame.limit(0)).collect() == []
+
+
 def test_vectors(spark):
     draw = np.random.default_rng(0)
     x = draw.normal(size=(900, 8)).astype("float32")
