@@ -5,7 +5,8 @@ seeds are spread, then vectors move to the partition that holds most of their ne
 long as it has room. A small classifier (softmax regression on the vector) learns the
 partition from the vector. It places every row of the table, and it routes a query to its
 most probable partitions, in which all rows are measured exactly. How many partitions a query
-visits is set on the sample: the fewest that reach `AIM` of the true neighbours there.
+visits is set on the sample: the fewest that reach `AIM` of the true neighbours there, and more
+for a query whose partitions hold fewer than k other rows between them.
 
 Rows and queries are packed into blocks by partition and joined block by block; a large
 partition is dealt into slices of about `ROWS_PER_SLICE` rows, each of which all its queries
@@ -13,10 +14,11 @@ visit, a join task sees one pair of blocks at a time, and each keeps a query's k
 
 Defined results: vectors that are null, zero, of another length than most of the sample, or that hold a
 null or a value that is not finite take no part, neither as queries nor as candidates; a
-query's own row is no candidate, other rows with its id or its vector are; ties go to the
-smaller id; with k candidates or fewer all that were visited are returned (and all there are,
-as then every partition is visited); an empty table gives an empty table; other columns are
-not read.
+query's own row is no candidate, other rows with its id or its vector are (rows are numbered as
+the index is written); rows that share a query's id are queries of their own, each with its k
+places; ties go to the smaller id; with k candidates or fewer all there are are returned;
+distances beyond the largest double are infinite; an empty table gives an empty table; other
+columns are not read.
 """
 
 from collections.abc import Iterator
@@ -138,79 +140,135 @@ def train(vectors: DataFrame, sample_rows: int = SAMPLE_ROWS, parts: int = PARTI
     sizes = [len(r.vector) for r in rows]
     length = max(sorted(set(sizes)), key=sizes.count)
     x = np.array([r.vector for r in rows if len(r.vector) == length], dtype=np.float64)
+    unit = 2.0 ** (np.frexp(np.abs(x).max())[1] - 1)  # squares of very large components overflow
+    x = x / unit
     parts = max(1, min(parts, len(x) // 64))
     if parts == 1:
         return Router(np.zeros((length + 1, 1)), 1), length
     graph = neighbour_graph(x)
     weights = fit_classifier(x, balanced_partitions(x, graph, parts), parts)
-    router = Router(weights, parts)
-    ranked = router.ranked(x)
+    ranked = Router(weights, parts).ranked(x)
     home = ranked[:, 0]
     some = np.random.default_rng(9).permutation(len(x))[:TUNING_QUERIES]
     true = neighbour_graph(x, k)[some]
     place = np.argsort(ranked[some], axis=1)  # at which visit each partition comes
     visit = np.take_along_axis(place, home[true], axis=1)
-    router.visits = next(v for v in range(1, parts + 1) if (visit < v).mean() >= aim)
-    return router, length
+    weights[:-1] /= unit
+    return Router(weights, next(v for v in range(1, parts + 1) if (visit < v).mean() >= aim)), length
 
 
-def _packed(rows: DataFrame, router: Router, length: int, visits: int, block_rows: int) -> DataFrame:
-    """(part, n, ids, values): rows in blocks, once for each partition that they go to."""
+_SIDE = ("ids", "numbers", "asks", "vectors")
+_BLOCK = "part int, ids binary, numbers binary, asks binary, n_asks int, vectors binary"
+
+
+def _batch(part: int, ids: np.ndarray, numbers: np.ndarray, asks: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch(
+        {
+            "part": pa.array([part], pa.int32()),
+            "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
+            "numbers": pa.array([numbers.astype(np.int64).tobytes()], pa.binary()),
+            "asks": pa.array([asks.astype(np.int8).tobytes()], pa.binary()),
+            "n_asks": pa.array([int(asks.sum())], pa.int32()),
+            "vectors": pa.array([x.astype(np.float64).tobytes()], pa.binary()),
+        }
+    )
+
+
+def _in_blocks(found: Iterator[tuple], block_rows: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of (parts of each row, ids, numbers, asks, vectors): a row goes to each of its parts."""
+    held: dict[int, list] = {}
+    sizes: dict[int, int] = {}
+
+    def block(part: int) -> pa.RecordBatch:
+        sizes.pop(part)
+        return _batch(part, *(np.concatenate(c) for c in zip(*held.pop(part))))
+
+    for goes, *columns in found:
+        for part in np.unique(goes[goes >= 0]).tolist():
+            mine = np.flatnonzero((goes == part).any(1))
+            held.setdefault(part, []).append(tuple(c[mine] for c in columns))
+            sizes[part] = sizes.get(part, 0) + len(mine)
+        for part in [p for p, n in sizes.items() if n >= block_rows]:
+            yield block(part)
+    for part in list(held):
+        yield block(part)
+
+
+def _index(rows: DataFrame, router: Router, length: int, block_rows: int) -> DataFrame:
+    """Rows (id, number, asks, vector) in blocks, each row in its most probable partition."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        sizes: dict[int, int] = {}
-
-        def block(part: int) -> tuple:
-            ids, x = zip(*held.pop(part))
-            sizes.pop(part)
-            return part, np.concatenate(ids), np.concatenate(x)
-
-        def batch_of(found: list[tuple]) -> pa.RecordBatch:
-            return pa.record_batch(
-                {
-                    "part": pa.array([p for p, _, _ in found], pa.int32()),
-                    "ids": pa.array([i.tobytes() for _, i, _ in found], pa.binary()),
-                    "vectors": pa.array([x.astype(np.float64).tobytes() for _, _, x in found], pa.binary()),
-                }
-            )
+        def found() -> Iterator[tuple]:
+            for batch in batches:
+                if batch.num_rows:
+                    x = np.asarray(batch.column(3).flatten(), dtype=np.float64).reshape(-1, length)
+                    columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+                    yield router.ranked(x)[:, :1], *columns, x
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = np.asarray(batch.column(0), dtype=np.int64)
-            x = np.asarray(batch.column(1).flatten(), dtype=np.float64).reshape(-1, length)
-            goes = router.ranked(x)[:, :visits]
-            for part in np.unique(goes).tolist():
-                mine = np.flatnonzero((goes == part).any(1))
-                held.setdefault(part, []).append((ids[mine], x[mine]))
-                sizes[part] = sizes.get(part, 0) + len(mine)
-            full = [p for p, n in sizes.items() if n >= block_rows]
-            if full:
-                yield batch_of([block(p) for p in full])
-        if held:
-            yield batch_of([block(p) for p in list(held)])
-
-    return rows.mapInArrow(blocks, "part int, ids binary, vectors binary")
-
-
-def _block_best(queries: tuple[np.ndarray, np.ndarray], rows: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, row, distance) of each query's k nearest rows in a block."""
-    q_ids, q = queries
-    v_ids, v = rows
-    near = _distances(q, v)
-    near[q_ids[:, None] == v_ids[None]] = np.inf
-    scale = (q * q).sum(1) + (v * v).sum(1).max()
+        yield from _in_blocks(found(), block_rows)
+
+    return rows.select("id", "number", "asks", "vector").mapInArrow(blocks, _BLOCK)
+
+
+def _opened(batch: pa.RecordBatch, i: int, length: int) -> tuple[np.ndarray, ...]:
+    """(ids, numbers, asks, vectors) of a block."""
+    types = {"ids": np.int64, "numbers": np.int64, "asks": np.int8, "vectors": np.float64}
+    ids, numbers, asks, x = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=t) for c, t in types.items())
+    return ids, numbers, asks, x.reshape(-1, length)
+
+
+def _queries(index: DataFrame, router: Router, length: int, sizes: np.ndarray, k: int, block_rows: int) -> DataFrame:
+    """The index's rows that ask, in blocks, once for each partition that they visit: the most
+    probable ones, as many as the router says and until they hold k rows beside the query's own."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    ids, numbers, asks, x = _opened(batch, i, length)
+                    mine = asks == 1
+                    goes = router.ranked(x[mine])
+                    before = np.cumsum(sizes[goes], axis=1) - sizes[goes]
+                    goes = np.where((np.arange(goes.shape[1]) < router.visits) | (before < k + 1), goes, -1)
+                    yield goes, ids[mine], numbers[mine], asks[mine], x[mine]
+
+        yield from _in_blocks(found(), block_rows)
+
+    return index.filter("n_asks > 0").mapInArrow(blocks, _BLOCK)
+
+
+def _exact(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    gap = rows - query
+    with np.errstate(over="ignore", invalid="ignore"):
+        d = np.sqrt((gap**2).sum(1))
+        far = ~np.isfinite(d)
+        if far.any():  # the squares overflow, the distance may not
+            most = np.abs(gap[far]).max(1)
+            d[far] = np.where(np.isfinite(most), most * np.sqrt(((gap[far] / most[:, None]) ** 2).sum(1)), np.inf)
+    return d
+
+
+def _block_best(queries: tuple[np.ndarray, ...], rows: tuple[np.ndarray, ...], k: int) -> tuple[np.ndarray, ...]:
+    """(query's number and id, row's number and id, distance) of each query's k nearest rows in
+    a block, its own row left out."""
+    q_ids, q_numbers, _, q = queries
+    v_ids, v_numbers, _, v = rows
+    with np.errstate(over="ignore", invalid="ignore"):
+        near = _distances(q, v)
+        scale = (q * q).sum(1) + (v * v).sum(1).max()
+    near[np.isnan(near)] = 0  # of overflows: measured exactly below
+    own = q_numbers[:, None] == v_numbers[None]
+    near[own] = np.inf
     out = []
     for i in range(len(q)):
-        if len(v) > k:
+        mine = np.flatnonzero(~own[i])
+        if len(v) > k and np.isfinite(scale[i]):
             limit = np.partition(near[i], k - 1)[k - 1] + 1e-9 * scale[i]
-            mine = np.flatnonzero(near[i] <= limit) if np.isfinite(limit) else np.flatnonzero(np.isfinite(near[i]))
-        else:
-            mine = np.flatnonzero(np.isfinite(near[i]))
-        d = np.sqrt(((v[mine] - q[i]) ** 2).sum(1))
-        best = np.lexsort((v_ids[mine], d))[:k]
-        out.append((np.full(len(best), q_ids[i]), v_ids[mine[best]], d[best]))
+            mine = mine[near[i][mine] <= limit]
+        d = _exact(v[mine], q[i])
+        best = np.lexsort((v_numbers[mine], v_ids[mine], d))[:k]
+        same = np.ones(len(best), np.int64)
+        out.append((same * q_numbers[i], same * q_ids[i], v_numbers[mine[best]], v_ids[mine[best]], d[best]))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -235,24 +293,33 @@ def nearest(
     if fitted is None:
         return spark.createDataFrame([], schema)
     router, length = fitted
-    rows = rows.filter(valid(F.col("vector")) & (F.size("vector") == length)).select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector"))
-    visits = router.visits if rows.limit(4 * k * len(router.weights[0])).count() >= 4 * k * len(router.weights[0]) else len(router.weights[0])
-    index = stage(_packed(rows, router, length, 1, block_rows), "ann-rows")
-    asked = stage(_packed(rows.filter(is_query), router, length, visits, block_rows // 4), "ann-queries")
+    rows = rows.filter(valid(F.col("vector")) & (F.size("vector") == length)).select(
+        F.col("id").cast("long").alias("id"),
+        F.monotonically_increasing_id().alias("number"),
+        F.coalesce(is_query, F.lit(False)).cast("int").alias("asks"),
+        F.col("vector").cast("array<double>").alias("vector"),
+    )
+    # Numbers hold from here on: queries and candidates are both read from what is written.
+    index = stage(_index(rows, router, length, block_rows), "ann-rows")
+    sizes = np.zeros(len(router.weights[0]), np.int64)
+    for r in index.groupBy("part").agg(F.sum(F.length("asks")).alias("n")).collect():  # a row a partition
+        sizes[r.part] = r.n
+    asked = stage(_queries(index, router, length, sizes, k, block_rows // 4), "ann-queries")
     # A partition holds a fixed share of all rows: slices keep the join's groups at one size.
     n_slices = 1 + vectors.count() // (len(router.weights[0]) * rows_per_slice)
     index = index.withColumn("slice", F.pmod(F.xxhash64("ids"), F.lit(n_slices)))
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_slices - 1).cast("long"))).alias("slice")
-    pairs = asked.select("part", F.col("ids").alias("q_ids"), F.col("vectors").alias("q"), each).join(index, ["part", "slice"])
+    mine = asked.select("part", *[F.col(c).alias(f"q_{c}") for c in _SIDE], each)
+    pairs = mine.join(index.select("part", "slice", *_SIDE), ["part", "slice"])
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            side = {c: batch.column(f"q_{c}") for c in _SIDE}
+            asking = pa.RecordBatch.from_pydict(side)
             for i in range(batch.num_rows):
-                ids = [np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.int64) for c in (0, 2)]
-                x = [np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.float64).reshape(-1, length) for c in (1, 3)]
-                q, v, d = _block_best((ids[0], x[0]), (ids[1], x[1]), k)
-                yield pa.record_batch({"query_id": q.astype(np.int64), "vec_id": v.astype(np.int64), "score": d.astype(np.float64)})
+                best = _block_best(_opened(asking, i, length), _opened(batch, i, length), k)
+                yield pa.record_batch(dict(zip(("query", "query_id", "number", "vec_id", "score"), map(pa.array, best))))
 
-    found = pairs.select("q_ids", "q", "ids", "vectors").mapInArrow(measured, "query_id long, vec_id long, score double")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    found = pairs.select(*[f"q_{c}" for c in _SIDE], *_SIDE).mapInArrow(measured, "query long, query_id long, number long, vec_id long, score double")
+    place = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id", "number"))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -322,6 +322,35 @@ def test_vectors(spark):
     assert ann_partitions.nearest(frame, F.col("id") % 100 == 0, rows_per_slice=7).orderBy("query_id", "rank").collect() == got
 
 
+def test_vectors_of_repeated_ids_and_few_or_very_large_rows(spark):
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(700, 6))
+    ids = [0 if i < 3 else i % 350 for i in range(700)]
+    schema = "vec_id long, embedding array<double>, id int, part int"
+    frame = spark.createDataFrame([(i, v.tolist(), 1, 2) for i, v in zip(ids, x)], schema)
+    got = ann_partitions.nearest(frame, F.col("id") % 100 == 0, aim=1.0).collect()
+    asking = [i for i in range(700) if ids[i] % 100 == 0]
+    assert Counter(r.rank for r in got) == Counter({k: len(asking) for k in range(1, 11)})
+    want = Counter()
+    for i in asking:
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        d[i] = np.inf
+        want.update((ids[i], ids[j]) for j in np.lexsort((ids, d))[:10])
+    assert sum((Counter((r.query_id, r.vec_id) for r in got) & want).values()) >= 0.9 * sum(want.values())
+    few = ann_partitions.nearest(frame.limit(6), F.col("id") >= 0).collect()
+    assert len(few) == 30
+    large = spark.createDataFrame([(i, (1e200 * v).tolist(), 1, 2) for i, v in enumerate(x[:200])], schema)
+    for r in ann_partitions.nearest(large, F.col("id") % 100 == 0).filter("rank = 1").collect():
+        d = np.sqrt(((x[:200] - x[r.query_id]) ** 2).sum(1))
+        assert r.score == pytest.approx(1e200 * np.sort(d)[1], rel=1e-9)
+    # Partitions of few rows: queries go on until they have met enough.
+    sizes = np.full(10, 3)
+    router = ann_partitions.Router(draw.normal(size=(7, 10)), 1)
+    index = ann_partitions._index(frame.limit(30).selectExpr("vec_id as id", "monotonically_increasing_id() as number", "1 as asks", "embedding as vector"), router, 6, 8)
+    visited = ann_partitions._queries(index, router, 6, sizes, 10, 8).collect()
+    assert sum(r.n_asks for r in visited) == 30 * 4
+
+
 def test_least_hashes_within_shares(spark):
     hashed = spark.range(20_000).select(F.xxhash64("id").alias("h"))
     all_of_them = sorted(r.h for r in hashed.collect())
