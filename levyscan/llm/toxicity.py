@@ -1,20 +1,22 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick.
 
 Texts are folded first: compatibility forms, case, accents, look-alike letters of other
-scripts, signs without width, and digits or marks that stand for letters inside a word. The
+scripts, signs without width, and digits or marks that stand for letters inside a word. Where
+they end a word, or '!' stands between letters, the text is matched in both readings. The
 lexicon holds whole words and word beginnings with weights, learned from labelled rows as
 smoothed log-odds of the share of toxic and of clean documents that have them, where near copies
 (texts with equal least hashes of word runs, and whatever they link) count once. Exception
 phrases (a listed term with its neighbour) that occur in clean documents only take a hit out
 again; a caller may add more. The weights of all hits are summed, normalised by the text's
-length, and put on a scale from 0 to 1 by a logistic curve fitted on the same labelled rows.
+number of words, and put on a scale from 0 to 1 by a logistic curve fitted on the same labelled rows.
 
 Training reads a bounded sample, at most `SAMPLE_ROWS` labelled rows chosen by a hash of
-their id. Scoring reads every text whole.
+their id. The lexicon keeps the `LEXICON_TERMS` heaviest terms and as many phrases. Scoring reads
+every text whole.
 
 Defined results: a null or empty text has no hit and gets the score of a text without hits;
-a doc_id with several labels counts as toxic if one of them says so; null labels teach
-nothing; without any toxic or any clean row every score is 0; repeated rows get a row each;
+a doc_id with several labels counts as toxic if one of them says so, one with several texts
+teaches by the least of them; null labels teach nothing; without any toxic or any clean row every score is 0; repeated rows get a row each;
 an empty table gives an empty table; other columns are not read.
 """
 
@@ -49,11 +51,12 @@ LOOK_ALIKES = {
     "v": "ѵν", "w": "ԝω", "x": "хχ", "y": "уγү", "z": "ᴢ",
 }
 # Digits and marks that stand for a letter.
-DIGIT_LETTERS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
+DIGIT_LETTERS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s"}
 NO_WIDTH = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 
 _TABLE = {ord(c): latin for latin, many in LOOK_ALIKES.items() for c in many} | {ord(c): None for c in NO_WIDTH}
-_INSIDE = regex.compile(r"(?<=[a-z])[013457@$]+(?=[a-z])|(?<![a-z0-9@$])[013457@$](?=[a-z])")
+_INSIDE = regex.compile(r"(?<=[a-z])[01345789@$]+(?=[a-z])|(?<![a-z0-9@$])[01345789@$](?=[a-z])")
+_AT_END = regex.compile(r"(?<=[a-z])(?:[01345789@$]+(?![a-z0-9@$])|!+(?=[a-z]))")
 _WORD = regex.compile(r"[a-z\p{L}]+")
 
 
@@ -77,6 +80,13 @@ def fold(text: str) -> str:
     return _INSIDE.sub(lambda m: "".join(DIGIT_LETTERS[c] for c in m[0]), low)
 
 
+def _readings(folded: str) -> list[str]:
+    """The folded text, and, if it differs, that with signs at the ends of words read as letters;
+    both have the same length."""
+    other = _AT_END.sub(lambda m: "".join(DIGIT_LETTERS.get(c, "i") for c in m[0]), folded)
+    return [folded] if other == folded else [folded, other]
+
+
 def _features(word: str) -> list[str]:
     return [f"={word}", *[f"^{word[:k]}" for k in BEGINNINGS if len(word) > k]]
 
@@ -117,17 +127,18 @@ def hits(folded: str, lexicon: Lexicon) -> list[tuple[int, int, float]]:
         return []
     best: dict[int, tuple[int, float]] = {}
     spared: list[tuple[int, int]] = []
-    for last, kinds in machine.iter(folded):
-        start, end = last - kinds["size"] + 1, last + 1
-        if start and folded[start - 1].isalpha():
-            continue
-        closed = end == len(folded) or not folded[end].isalpha()
-        if "!" in kinds and closed:
-            spared.append((start, end))
-        weight = kinds.get("=", -math.inf) if closed else -math.inf
-        weight = max(weight, kinds.get("^", -math.inf) if not closed else -math.inf)
-        if weight > best.get(start, (0, -math.inf))[1]:
-            best[start] = (end, weight)
+    for text in _readings(folded):
+        for last, kinds in machine.iter(text):
+            start, end = last - kinds["size"] + 1, last + 1
+            if start and text[start - 1].isalpha():
+                continue
+            closed = end == len(text) or not text[end].isalpha()
+            if "!" in kinds and closed:
+                spared.append((start, end))
+            weight = kinds.get("=", -math.inf) if closed else -math.inf
+            weight = max(weight, kinds.get("^", -math.inf) if not closed else -math.inf)
+            if weight > best.get(start, (0, -math.inf))[1]:
+                best[start] = (end, weight)
     return [(s, e, w) for s, (e, w) in sorted(best.items()) if not any(a <= s and e <= b for a, b in spared)]
 
 
@@ -135,7 +146,7 @@ def measures(text: str | None, lexicon: Lexicon) -> tuple[float, float]:
     """The summed weight of all hits, and that per 100 words, both as logarithms."""
     folded = fold(text or "")
     total = sum(w for _, _, w in hits(folded, lexicon))
-    words = folded.count(" ") + folded.count("\n") + 1
+    words = max(1, len(folded.split()))
     return math.log1p(total), math.log1p(100.0 * total / words)
 
 
@@ -156,7 +167,8 @@ def sample(docs: DataFrame, labels: DataFrame, use: Column, rows: int, id_col: s
         if chosen.count() == rows:
             break
     texts = only(docs, id=id_col, text=text_col)
-    return texts.join(F.broadcast(chosen), "id").select("text", "toxic")  # `rows` bounds it
+    met = texts.join(F.broadcast(chosen), "id")  # `rows` bounds it
+    return met.groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
 
 
 _MULTIPLY, _ADD = (np.random.default_rng(s).integers(1, 1 << 63, BANDS * BAND_HASHES, dtype=np.uint64) | np.uint64(1) for s in (1, 2))

@@ -229,6 +229,20 @@ def test_toxicity_learns_rare_terms_and_counts_copies_once(spark):
     assert len(set(toxicity.near_copies([(i, toxicity.bands(t)) for i, t in enumerate(copies)]).values())) == 1
 
 
+def test_toxicity_is_not_diluted_or_hidden_by_signs(spark):
+    rows = [(i, prose(i, 80) + (" you idiot scum" if i % 4 == 0 else "")) for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id long, toxic int")
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    lexicon = toxicity.train(frame, labels, F.lit(True))
+    text = prose(500, 60) + " idiot scum"
+    assert toxicity.score(text + " " * 3_000 + "\n" * 3_000, lexicon) == toxicity.score(text, lexicon) > 0.5
+    again = frame.unionByName(frame.filter("doc_id < 8")).unionByName(frame.filter("doc_id < 8"))
+    assert toxicity.train(again, labels, F.lit(True)) == lexicon
+    plain = toxicity.Lexicon({"=ass": 3.0, "=scum": 3.0, "=idiot": 3.0, "=big": 1.0})
+    found = {t: [t[a:b] for a, b, _ in toxicity.hits(toxicity.fold(t), plain)] for t in ("an a$$.", "as5", "scum5", "Scum$", "id!0t", "oh!scum", "8i9", "as 5, scumble", "a$$et")}
+    assert list(found.values()) == [["a$$"], ["as5"], ["scum"], ["Scum"], ["id!0t"], ["scum"], ["8i9"], [], []]
+
+
 def test_quality_counts_and_junk(spark, empty):
     texts = [prose(i, 120) for i in range(300)] + ["a b c a b c x\nl1 w\nl1 w\n" + prose(9, 70), None, "", " ".join(w + "%%%" for w in prose(5, 120).split())]
     frame = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
