@@ -91,3 +91,20 @@ def test_boosted_trees_use_their_threshold(split_features):
     assert scored.filter((F.col("probability") >= 0.35) != (F.col("prediction") == 1)).isEmpty()
     tiers = models.prediction_table(scored, "xgb", with_tier=True)
     assert tiers.columns == ["po_id", "actual", "xgb_prediction", "xgb_probability", "model_name", "risk_tier"]
+
+
+def test_forest_rows_keep_their_nodes(split_features):
+    model = models.train_forest(split_features.filter("not is_test"), trees=2, depth=2, trees_per_group=1)
+    assert [stage.getCacheNodeIds() for stage in model.stages[1:]] == [True, True]
+
+
+def test_queries_fit_only_the_models_they_ask_for(inputs, monkeypatch):
+    from levyscan.checks import catalog_cases
+
+    fitted = []
+    trainers = {name: lambda train, name=name: fitted.append(name) or name for name in ("forest", "boosted")}
+    monkeypatch.setattr(catalog_cases, "_TRAINERS", trainers, raising=False)
+    monkeypatch.setattr(catalog_cases, "_fits", {})
+    assert catalog_cases._fit_once(inputs, "forest")[1:] == ("forest",)
+    assert catalog_cases._fit_once(inputs, "forest", "boosted")[1:] == ("forest", "boosted")
+    assert fitted == ["forest", "boosted"]
