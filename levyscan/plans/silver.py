@@ -7,7 +7,8 @@ shared directors, order frequency, spending history) is joined at the grain of v
 month, a table far smaller than the orders. What hangs on groups of orders or on other keys
 (both group sizes, the rate, the name score) is found on a narrow sheet of key columns and
 comes back by the order id. So the wide rows are moved at most twice: into the layout, and to
-the vendor's profile where that is too large to broadcast.
+the vendor's profile where that is too large to broadcast. Of many orders they are moved once:
+the profile is then joined to the sheet.
 """
 
 from pyspark.sql import DataFrame
@@ -98,6 +99,9 @@ def vendor_month_profile(
     return left_join_on(by_month.join(master, "vendor_id", "left"), history, MONTH_KEYS)
 
 
+#: From so many orders on the wide rows are not moved to the vendor's profile.
+MANY_ORDERS = 1_000_000
+
 #: What an order takes from the narrow sheet.
 FACTS = ["gst_rate", "invoice_dup_count", "invoice_count_same_vendor_same_day", "name_sim_score"]
 
@@ -126,14 +130,16 @@ def build_silver(
     as_of: str | None = None,
     history_value_is: str = "average",
     null_invoice: str = "group",
+    many_orders: int = MANY_ORDERS,
     **options,
 ) -> DataFrame:
     """The wide table. `options` (broadcast_rows, rows_per_salt) reach every lookup.
 
     Orders, invoices and labels are laid out by the order id; the vendor profile, the narrow
     sheet and the groups and name pairs found in it are written on the way, side by side where
-    one does not need the other. Where order ids repeat, the facts of the sheet are attached
-    to the rows themselves in place of by id.
+    one does not need the other. From `many_orders` on the profile is joined to the sheet and
+    comes home with its facts, so that the wide rows stay in their buckets. Where order ids
+    repeat, the facts of the sheet are attached to the rows themselves in place of by id.
     """
     dated = enforce_types(bronze.purchase_orders).withColumn("year_month", year_month(F.col("po_date")))
 
@@ -168,11 +174,14 @@ def build_silver(
         def with_profile(frame: DataFrame) -> DataFrame:
             return lookup_join(frame, profiled.result(), MONTH_KEYS, ["po_id"], month_counts, null_safe=True, **options)
 
-        if unique.result():
+        if not unique.result():
+            wide = facts.attach(with_profile(labelled), schedule, null_invoice, **options)
+        elif orders.count() >= many_orders:
+            told = facts.attach(sheet, schedule, null_invoice, **options).select("po_id", *MONTH_KEYS, *FACTS)
+            wide = labelled.join(with_profile(told).drop(*MONTH_KEYS), "po_id", "left")
+        else:
             found = facts.attach(sheet, schedule, null_invoice, **options).select("po_id", *FACTS)
             wide = with_profile(labelled.join(found, "po_id", "left"))
-        else:
-            wide = facts.attach(with_profile(labelled), schedule, null_invoice, **options)
     return with_score(with_row_rules(wide, as_of))
 
 

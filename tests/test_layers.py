@@ -63,6 +63,19 @@ def test_wide_rows_move_once_after_the_layout(spark, inputs):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_wide_rows_of_many_orders_stay_in_their_buckets(spark, inputs, silver):
+    """The profile comes home with the facts of the sheet: no exchange holds order columns."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        wide = build_silver(inputs.bronze, AS_OF, many_orders=0, broadcast_rows=0)
+        assert "BroadcastHashJoin" not in plan_of(wide)
+        assert ["vendor_id", "year_month"] not in _wide_exchanges(wide._jdf.queryExecution().executedPlan())
+        assert wide.columns == silver.columns and wide.dtypes == silver.dtypes
+        assert wide.exceptAll(silver).isEmpty() and silver.exceptAll(wide).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def _wide_exchanges(node) -> list[list[str]]:
     """Keys of the exchanges whose rows have 30 columns or more."""
     if node.nodeName().startswith("AdaptiveSparkPlan"):
