@@ -333,13 +333,15 @@ def _raw_files(t: Inputs, name: str) -> str:
     fields = INPUT_FIELDS[name]
     raw = _raw_headers(getattr(t.raw, name).select(*[column for _, column, _ in fields]), fields)
     path = files.export_csv(raw, new_path(t.spark, f"raw-{name}"))
+    # More files, each with its header, as another sender's would have. A line is one value
+    # of a table with one column: nothing is quoted, trimmed or parted in it.
     header = ",".join(h for h, _, _ in fields)
     broken = [F.coalesce(F.col(f"`{fields[0][0]}`"), F.lit("none"))]
     if any(kind != "string" for _, _, kind in fields):
-        broken += [F.lit("\n"), F.lit(",".join("word" for _ in fields))]
-    # One more file, with its own header, as another sender's would have.
-    first = t.spark.createDataFrame([(header,)], "line string").coalesce(1)
-    first.union(raw.coalesce(1).select(F.concat(*broken).alias("line"))).coalesce(1).write.mode("append").text(path)
+        broken.append(F.lit(",".join("word" for _ in fields)))
+    lines = raw.select(F.explode(F.array(*broken)).alias(header))
+    as_is = {"header": True, "sep": "\u0001", "quote": "", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.mode("append").options(**as_is).csv(path)
     return path
 
 

@@ -116,7 +116,7 @@ def test_features_are_in_silver(silver):
     assert set(FEATURES) <= set(silver.columns)
 
 
-def test_hot_partition_value_is_written_by_many_tasks(spark, tmp_path):
+def test_hot_partition_value_is_written_by_many_tasks(spark, inputs):
     import glob
 
     rows = spark.range(400_000).selectExpr("md5(cast(id as string)) as t", "if(id % 3 = 0, 7, id % 50) as m")
@@ -152,3 +152,21 @@ def test_csv_header_is_checked(spark, tmp_path):
     path = files.export_csv(spark.createDataFrame([("a", "b")], "x string, y string"), str(tmp_path / "bad"))
     with pytest.raises(Exception, match="CSV header"):
         files.read_csv(spark, path, raw_schema(RATE_FIELDS)).collect()
+
+
+def test_unreadable_lines_are_written_by_many_tasks(spark, inputs):
+    """The lines that go into quarantine are made where the rows are, not in one task."""
+    from levyscan.checks import catalog_tables
+    from levyscan.checks.registry import Inputs
+    from levyscan.schemas import INPUT_FIELDS
+
+    t = Inputs(spark, inputs.base)
+    orders = t.raw.purchase_orders.repartition(4).localCheckpoint()
+    t.raw.__dict__["purchase_orders"] = orders
+    path = catalog_tables._raw_files(t, "purchase_orders")
+    broken = spark.read.text(path).filter("value like 'word,%'").groupBy(F.input_file_name()).count()
+    assert broken.count() > 1
+    n = orders.count()
+    good, bad = files.read_checked(spark, path, INPUT_FIELDS["purchase_orders"], "purchase_orders")
+    assert good.count() == n
+    assert {r["reason"]: r["count"] for r in bad.groupBy("reason").count().collect()} == {"number of values": n, "type of quantity": n}
