@@ -435,7 +435,7 @@ def _(t: Inputs):
     + " UNION ALL SELECT po_id, 'severity Critical' FROM silver WHERE severity = 'Critical'",
 )
 def _(t: Inputs):
-    return projection.raised_listings(t.silver_table)
+    return projection.raised_listings(t.silver)
 
 
 @check(

@@ -170,3 +170,12 @@ def test_unreadable_lines_are_written_by_many_tasks(spark, inputs):
     good, bad = files.read_checked(spark, path, INPUT_FIELDS["purchase_orders"], "purchase_orders")
     assert good.count() == n
     assert {r["reason"]: r["count"] for r in bad.groupBy("reason").count().collect()} == {"number of values": n, "type of quantity": n}
+
+
+def test_risk_and_flags_do_not_write_the_wide_table(spark, inputs):
+    """Of the silver layer they make only the columns they need."""
+    from levyscan.checks.registry import Inputs
+
+    t = Inputs(spark, inputs.base)
+    assert t.risk.count() > 0 and set(FLAG_TABLE_COLUMNS) <= set(t.flags.columns)
+    assert "silver_table" not in vars(t)
