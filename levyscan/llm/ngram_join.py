@@ -12,14 +12,16 @@ still reach the bound, block by block (a block is a partition of the shingles):
    ``size - ceil(0.75 * size) + 1`` columns of both, so only those are multiplied. The list
    of frequent shingles only sets the order, so it may be bounded and approximate.
 3. Columns in which many classes meet (near copies in their thousands) are not multiplied
-   out: each class is first compared with a few hubs of the column, and classes that prove
+   out: each class is first compared with a few hubs of the column, among them those
+   that have least besides what the column's classes share, and classes that prove
    to be linked are one component from then on.
 4. All remaining pairs of different components in a column are multiplied out, but for
-   those whose sets differ too much: each class has a bitmap of the parities of its shingles
-   by hash, and two sets differ in at least as many shingles as their bitmaps in bits. The
-   overlap counts of the rest are added up over the columns, and a pair is dropped when its
-   count plus what the rest of its sets could add stays below the bound given by the two
-   sizes. Neither bound can drop a linked pair.
+   those whose sets differ too much: two sets must be of like size, must have enough columns
+   left from the common one on (none before the first common one is shared), and each class
+   has a bitmap of the parities of its shingles by hash: two sets differ in at least as many
+   shingles as their bitmaps in bits. The overlap counts of the rest are added up over the
+   columns, and a pair is dropped when its count plus what the rest of its sets could add
+   stays below the bound given by the two sizes. No bound can drop a linked pair.
 5. What is left is counted exactly on the whole sets, read again from the texts.
 
 Step 4 sees every pair that is not yet in one component, so no link between components is
@@ -31,6 +33,7 @@ own class each; a null doc_id takes part, but never names a component unless all
 are null; an empty table gives an empty table; other columns are not read.
 """
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -160,21 +163,26 @@ def classes(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT) -> Da
     return docs.select("doc_id", "text").mapInArrow(described, f"doc_id {kind}, class long, n long, prefix array<long>, bits array<long>")
 
 
-def _shared_columns(described: DataFrame) -> DataFrame:
-    """(column, class, met, hub_0 ...) for the columns in which two classes or more meet; only
-    crowded columns have hubs. Nothing but the two numbers is shuffled: a class's size is
-    looked up later, for the few rows that are left."""
-    entries = described.filter("prefix is not null").select("class", F.explode("prefix").alias("column"))
-    same = Window.partitionBy("column")
+def _shared_columns(described: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(column, class, n, i, met, hub_0 ...) for the columns in which two classes or more meet; i
+    is the column's place in the class's set. A class stays in a column only where its next
+    smaller or larger one there is near enough in size to be linked. Only crowded columns have
+    hubs: some by their number, and those with the least place i, in the column and in the
+    class's band of sizes, as they have least of their own besides what the column's classes share."""
+    entries = described.filter("prefix is not null").select("class", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("i", "column"))
+    entries = entries.withColumn("band", F.floor(F.log("n") / math.log(100 / percent)).cast("int"))
+    same, banded = Window.partitionBy("column"), Window.partitionBy("column", "band")
+    rising = same.orderBy("band", "n")
+    sized = entries.withColumns({"below": F.lag("n").over(rising), "above": F.lead("n").over(rising)})
+    n = F.col("n").cast("long")
+    near = sized.filter((F.col("below").cast("long") * 100 >= n * percent) | (n * 100 >= F.col("above").cast("long") * percent))
     masks = [(i << 60) - (1 << 63) if i >= 8 else i << 60 for i in range(0, 16, 16 // HUBS)]
     hubs = {f"hub_{i}": F.min(F.col("class").bitwiseXOR(F.lit(m))).over(same).bitwiseXOR(F.lit(m)) for i, m in enumerate(masks)}
-    met = entries.withColumns({"met": F.count("*").over(same), "least": F.min("class").over(same), "most": F.max("class").over(same), **hubs})
+    hubs |= {f"hub_{HUBS + i}": F.min(F.struct("i", "class")).over(w)["class"] for i, w in enumerate([same, banded])}
+    met = near.withColumns({"met": F.count("*").over(same), "least": F.min("class").over(same), "most": F.max("class").over(same), **hubs})
     crowded = F.col("met") > LARGE_COLUMN
-    return met.filter("least < most").select("column", "class", "met", *[F.when(crowded, F.col(h)).alias(h) for h in hubs])
-
-
-def _sizes(described: DataFrame) -> DataFrame:
-    return described.filter("prefix is not null").select("class", "n").dropDuplicates(["class"])
+    kept = ["column", "class", "n", "i", "met"]
+    return met.filter("least < most").select(*kept, *[F.when(crowded, F.col(f"hub_{h}")).alias(f"hub_{h}") for h in range(HUBS + 2)])
 
 
 def _with_sets(docs: DataFrame, described: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -213,44 +221,69 @@ def _linked(docs: DataFrame, described: DataFrame, pairs: DataFrame, percent: in
     return linked
 
 
-def _hub_pairs(described: DataFrame, shared: DataFrame) -> DataFrame:
-    """Each class of a crowded column with the column's hubs, where they share a good part
-    of the prefix. A pair that is passed over here comes up again in the full product."""
+def _like_sizes(a: str, b: str, percent: int) -> Column:
+    return (F.least(a, b) * F.lit(100)) >= (F.greatest(a, b) * F.lit(percent))
+
+
+def _few_differ(a: str, b: str, required: Column) -> Column:
+    """Whether the bitmaps of two sets leave room for the overlap that is required."""
+    differing = sum((F.bit_count(F.col(f"bits_{a}")[i].bitwiseXOR(F.col(f"bits_{b}")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
+    return differing <= F.col(f"n_{a}") + F.col(f"n_{b}") - 2 * required
+
+
+def _hub_pairs(described: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Each class of a crowded column with the column's hubs, where no bound speaks against a
+    link; sets too large for their bitmaps must share a good part of the prefix as well. A pair
+    that is passed over here comes up again in the full product."""
     crowded = shared.filter(F.col("met") > LARGE_COLUMN)
-    hubs = F.explode(F.array_distinct(F.array(*[f"hub_{i}" for i in range(HUBS)])))
-    pairs = crowded.select("class", hubs.alias("b")).filter("class <> b").groupBy("class", "b").agg(F.count("*").alias("c"))
-    close = pairs.join(_sizes(described), "class").filter(F.col("c") * 10 >= F.col("n") * (100 - PERCENT) / 100 * 3)
-    place = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("c"), "b"))
+    hubs = F.explode(F.array_distinct(F.array(*[f"hub_{i}" for i in range(HUBS + 2)])))
+    pairs = crowded.select(F.col("class").alias("a"), F.col("n").alias("n_a"), "i", hubs.alias("b")).filter("a <> b")
+    pairs = pairs.groupBy("a", "n_a", "b").agg(F.count("*").alias("c"), F.min("i").alias("i"))
+    described = described.filter("bits is not null").select("class", "n", "bits").dropDuplicates(["class"])
+    of_a, of_b = described.select(F.col("class").alias("a"), F.col("bits").alias("bits_a")), described.toDF("b", "n_b", "bits_b")
+    required = _required(F.col("n_a"), F.col("n_b"), percent)
+    telling = (F.col("n_a") <= 64 * BITMAP_WORDS) | (F.col("c") * 10 >= F.col("n_a") * (100 - percent) / 100 * 3)
+    close = pairs.filter(telling).join(of_b, "b").filter(_like_sizes("n_a", "n_b", percent) & (F.col("n_a") - F.col("i") >= required))
+    close = close.join(of_a, "a").filter(_few_differ("a", "b", required)).select("a", "b", "c")
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("c"), "b"))
     nearest = close.withColumn("place", place).filter(F.col("place") <= NEAREST_HUBS)
-    return stage(nearest.select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")).distinct(), "pairs")
+    return stage(nearest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
 
 
 def _product_pairs(described: DataFrame, shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that meet in a column and whose bitmaps are near
-    enough, with their overlap counts added up and held against the bound."""
-    rooted = shared.select("column", "class").join(
+    """All pairs of different components that meet in a column, whose bitmaps are near enough
+    and whose sets have enough columns left from there on; then the columns that such a pair
+    shares are counted and held against the bound."""
+    rooted = shared.select("column", "class", "n", "i").join(
         roots.withColumnRenamed("node", "class"), "class", "left"
     ).withColumn("root", F.coalesce("root", "class"))
     open_columns = rooted.groupBy("column").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("column")
     still = stage(rooted.join(open_columns, "column", "left_semi").distinct(), "open")
     open_classes = still.select("class").distinct()
-    bitmaps = described.filter("bits is not null").select("class", "n", "bits").join(open_classes, "class", "left_semi").dropDuplicates(["class"])
+    bitmaps = described.filter("bits is not null").select("class", "bits").join(open_classes, "class", "left_semi").dropDuplicates(["class"])
     bare, still = still, stage(still.join(bitmaps, "class"), "open-bits")
     unstage(bare)
-    x = still.select("column", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), F.col("bits").alias("bits_a"))
-    y = still.select("column", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("bits").alias("bits_b"))
-    sizes_fit = (F.least("n_a", "n_b") * 100) >= (F.greatest("n_a", "n_b") * percent)
-    differing = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
-    near = differing <= F.col("n_a") + F.col("n_b") - 2 * _required(F.col("n_a"), F.col("n_b"), percent)
-    met = x.join(y, "column").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & sizes_fit & near)
-    counts = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c"))
+
+    def side(s: str) -> DataFrame:
+        return still.select("column", F.col("class").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "i", "root", "bits")])
+
+    required = _required(F.col("n_a"), F.col("n_b"), percent)
+    # No column before the first common one is shared, so what follows must be enough there; at
+    # later ones still less is left, so a pair that fails at the first fails everywhere.
+    enough_left = F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b")) >= required
+    near = _like_sizes("n_a", "n_b", percent) & enough_left & _few_differ("a", "b", required)
+    met = side("a").join(side("b"), "column").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & near)
+    close = stage(met.select("a", "b", "n_a", "n_b").distinct(), "close")
+    # All that two of these share of their prefixes lies in open columns.
+    of_a, of_b = still.select("column", F.col("class").alias("a")), still.select("column", F.col("class").alias("b"))
+    counts = close.join(of_a, "a").join(of_b, ["column", "b"]).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c"))
 
     def beyond(n: str) -> Column:
         return F.ceil(F.col(n) * percent / F.lit(100.0) - F.lit(1e-9)) - 1
 
     at_most = F.col("c") + F.greatest(beyond("n_a"), beyond("n_b"))
-    pairs = stage(counts.filter(at_most >= _required(F.col("n_a"), F.col("n_b"), percent)).select("a", "b"), "pairs")
-    unstage(still, shared)
+    pairs = stage(counts.filter(at_most >= required).select("a", "b"), "pairs")
+    unstage(still, shared, close)
     return pairs
 
 
@@ -266,8 +299,8 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, class, n, root) for every row: classes with one root are one component."""
     frequent = frequent_shingles(docs)
     described = stage(classes(docs, frequent, percent), "classes")
-    shared = stage(_shared_columns(described), "shared")
-    first = _linked(docs, described, _hub_pairs(described, shared), percent)
+    shared = stage(_shared_columns(described, percent), "shared")
+    first = _linked(docs, described, _hub_pairs(described, shared, percent), percent)
     roots = connected_components(first)
     rest = _linked(docs, described, _product_pairs(described, shared, roots, percent), percent)
     roots = connected_components(_between_roots(rest, roots))

@@ -81,6 +81,27 @@ def test_ngram_join_in_a_large_group_of_near_copies(spark):
     assert Counter(tuple(r) for r in got.collect()) == plain_components(rows)
 
 
+def test_ngram_join_pairs_around_a_common_core(spark, monkeypatch):
+    """A core with much or little of each text's own before it: what is left for the full product
+    grows with the group, not with its square."""
+    left = []
+    product = ngram_join._product_pairs
+
+    def counted(*args):
+        pairs = product(*args)
+        left.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_product_pairs", counted)
+    for size in (60, 180):
+        core = prose(8, 154)
+        own = np.random.default_rng(size).integers(1, 60, size)
+        rows = [(i, " ".join(f"own{i}x{k}" for k in range(n)) + " " + core) for i, n in enumerate(own.tolist())]
+        got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert Counter(tuple(r) for r in got.collect()) == plain_components(rows)
+    assert left[1] <= 4 * left[0] + 20 and left[1] < 180
+
+
 def test_one_per_group(docs, empty):
     kept = ngram_join.one_per_group(docs).collect()
     assert Counter(r.doc_id for r in kept) == Counter([0, 1, 2, 3, 5, 8, 9, 11])
