@@ -16,35 +16,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from levyscan.llm import language_id, mixing, ngram_join, packing, secret_markov
-from levyscan.llm.common import stage, table
-
-
-#: Documents that cross to Python at once. Some kilobytes each, they make batches of a few MB on
-#: both sides, whatever the session's own, larger setting.
-BATCH_ROWS = 1_000
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
-def _in_small_batches(spark: SparkSession) -> None:
-    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
-        spark.conf.set(_BATCH, BATCH_ROWS)
+from levyscan.llm.common import in_small_batches, stage, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; those with too narrow a margin go."""
-    _in_small_batches(spark)
+    in_small_batches(spark)
     return language_id.identified_rows(docs, language_id.train(docs, F.lit(True)))
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    _in_small_batches(spark)
+    in_small_batches(spark)
     return ngram_join.one_per_group(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mark."""
-    _in_small_batches(spark)
+    in_small_batches(spark)
     clean = secret_markov.redact(docs, secret_markov.train(docs))
     if "n_chars" not in docs.columns:
         return clean
@@ -53,13 +42,13 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources ask for."""
-    _in_small_batches(spark)
+    in_small_batches(spark)
     return mixing.mixed_rows(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in full sequences."""
-    _in_small_batches(spark)
+    in_small_batches(spark)
     return packing.pack_documents(docs)
 
 

@@ -15,6 +15,15 @@ BROADCAST_KEYS = 1_000_000
 #: The characters that end a word: blank, tab, line feed, vertical tab, form feed, return.
 WORD_BREAKS = "\\x20\\x09-\\x0D"
 WORD_PATTERN = f"[^{WORD_BREAKS}]+"
+#: Documents that cross to Python at once. Some kilobytes each, they make batches of a few MB on
+#: both sides, whatever the session's own, larger setting.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
 
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:

@@ -21,7 +21,7 @@ from levyscan.llm import (
     toxicity,
     turn_repair,
 )
-from levyscan.llm.common import crc_remainder, table
+from levyscan.llm.common import crc_remainder, in_small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,6 +54,7 @@ def nearest_vectors(spark: SparkSession, base: str) -> DataFrame:
 
 @query("op4_toxicity_lexicon")
 def toxic_documents(spark: SparkSession, base: str) -> DataFrame:
+    in_small_batches(spark)
     docs = table(spark, base, "documents")
     lexicon = toxicity.train(docs, table(spark, base, "labels"), crc_remainder("doc_id", 5) != 0)
     scored = toxicity.rate(docs, lexicon)

@@ -43,6 +43,8 @@ BEGINNINGS = (4, 5, 6)
 LEAST_DOCS = 3  # near copies count as one
 BANDS, BAND_HASHES, SHINGLE = 6, 4, 5  # near copies agree in a band of least hashes of word runs
 LEAST_WEIGHT = 2.5
+SLICE_BYTES = 1 << 20  # of text at once
+COUNTED_AT_ONCE = 50_000  # features that a task counts together
 
 # Letters of other scripts that look like Latin ones, each under its look.
 LOOK_ALIKES = {
@@ -207,24 +209,32 @@ def near_copies(rows: list[tuple[int, list[int]]]) -> dict[int, int]:
 def _document_counts(rows: DataFrame, found: Callable[[str], set[str]], class_of: dict[int, int], repeated: frozenset[int]) -> dict[str, tuple[int, int]]:
     """How many toxic and how many clean classes of near copies have each of the features that
     `found` lists for a text; features of few classes stay behind."""
+    most = COUNTED_AT_ONCE
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # (toxic, class) and its features; a class of one row needs no telling apart.
         counts: dict[tuple[int, int | None], Counter] = {}
-        for batch in slices(batches, 0):
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for (toxic, kind), n in counts.items():
+                size = len(n)
+                yield pa.record_batch(
+                    {
+                        "feature": pa.array(list(n), pa.string()),
+                        "toxic": pa.array([toxic] * size, pa.int32()),
+                        "class": pa.array([kind] * size, pa.int64()),
+                        "n": pa.array(list(n.values()) if kind is None else [1] * size, pa.int64()),
+                    }
+                )
+            counts.clear()
+
+        for batch in slices(batches, 0, SLICE_BYTES):
             for text, toxic, number in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 kind = class_of[number]
                 counts.setdefault((1 if toxic else 0, kind if kind in repeated else None), Counter()).update(found(text or ""))
-        for (toxic, kind), n in counts.items():
-            size = len(n)
-            yield pa.record_batch(
-                {
-                    "feature": pa.array(list(n), pa.string()),
-                    "toxic": pa.array([toxic] * size, pa.int32()),
-                    "class": pa.array([kind] * size, pa.int64()),
-                    "n": pa.array(list(n.values()) if kind is None else [1] * size, pa.int64()),
-                }
-            )
+                if sum(map(len, counts.values())) > most:
+                    yield from flush()
+        yield from flush()
 
     told = stage(rows.mapInArrow(counted, "feature string, toxic int, class long, n long"), "toxic-features")
     once = told.filter("class is null").unionByName(told.filter("class is not null").distinct())
@@ -263,7 +273,7 @@ def train(
     kept = stage(sample(docs, labels, use, sample_rows, id_col, text_col, label_col), "toxic-sample")
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, SLICE_BYTES):
             folded = [fold(t or "") for t in batch.column(0).to_pylist()]
             numbers = pa.array([_number(f.encode("utf-8", "replace")) for f in folded], pa.int64())
             yield pa.record_batch({"text": batch.column(0), "toxic": batch.column(1), "number": numbers, "bands": pa.array(map(bands, folded), pa.list_(pa.int64()))})
@@ -307,7 +317,7 @@ def train(
         return out
 
     def spared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, SLICE_BYTES):
             found = [(p, t) for x, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for p in phrases(x or "")]
             yield pa.record_batch({"phrase": pa.array([p for p, _ in found], pa.string()), "toxic": pa.array([t for _, t in found], pa.int32())})
 
@@ -316,7 +326,7 @@ def train(
     lexicon = Lexicon(chosen, tuple(sorted({*[fold(e) for e in exceptions], *[r.phrase for r in clean_only]})))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, SLICE_BYTES):
             found = [measures(t, lexicon) for t in batch.column(0).to_pylist()]
             yield pa.record_batch({"a": pa.array([a for a, _ in found], pa.float64()), "b": pa.array([b for _, b in found], pa.float64()), "toxic": batch.column(1)})
 
@@ -333,7 +343,7 @@ def rate(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: st
     kind = dict(docs.dtypes)["doc_id"]
 
     def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1, 1 << 23):
+        for batch in slices(batches, 1, SLICE_BYTES):
             yield pa.record_batch({"doc_id": batch.column(0), "score": pa.array([score(t, lexicon) for t in batch.column(1).to_pylist()], pa.float64())})
 
     return docs.mapInArrow(rated, f"doc_id {kind}, score double")

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from levyscan.llm import ann_partitions, html_consensus, language_id, mixing, ngram_join, packing, pii_surrogates, quality_mcd, secret_markov, toxicity
+from levyscan.llm import ann_partitions, html_consensus, language_id, mixing, ngram_join, packing, pii_surrogates, quality_mcd, queries, secret_markov, toxicity
 from levyscan.llm.common import in_share, shares
 from levyscan.llm.components import connected_components
 from levyscan.llm.wordpieces import WordTokenizer, default_tokenizer_path
@@ -250,6 +250,18 @@ def test_toxicity_learns_rare_terms_and_counts_copies_once(spark):
     assert len(set(toxicity.near_copies([(i, toxicity.bands(t)) for i, t in enumerate(copies)]).values())) == 1
 
 
+def test_toxicity_counts_in_bounded_parts_and_small_batches(spark, monkeypatch):
+    texts = [prose(i, 80) + (" you idiot scum" if i % 4 == 0 else "") for i in range(120)] + [prose(0, 80) + " you idiot scum"] * 3
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = frame.select("doc_id", F.col("text").endswith("scum").cast("int").alias("toxic"))
+    whole = toxicity.train(frame, labels, F.lit(True))
+    monkeypatch.setattr(toxicity, "COUNTED_AT_ONCE", 50)
+    assert toxicity.train(frame, labels, F.lit(True)) == whole and "=idiot" in whole.weights
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    queries.QUERIES["op4_toxicity_lexicon"](spark, "/root/testdata/sf0.001")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1_000
+
+
 def test_toxicity_is_not_diluted_or_hidden_by_signs(spark):
     rows = [(i, prose(i, 80) + (" you idiot scum" if i % 4 == 0 else "")) for i in range(120)]
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id long, toxic int")
