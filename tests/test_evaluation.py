@@ -1,10 +1,12 @@
 import random
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from levyscan.operators import evaluation, models
+from levyscan.operators import boosting, evaluation, models
 from levyscan.sources.staging import new_path, stage
 
 SCHEMA = "model_name string, label int, prediction int, probability double"
@@ -108,3 +110,49 @@ def test_queries_fit_only_the_models_they_ask_for(inputs, monkeypatch):
     assert catalog_cases._fit_once(inputs, "forest")[1:] == ("forest",)
     assert catalog_cases._fit_once(inputs, "forest", "boosted")[1:] == ("forest", "boosted")
     assert fitted == ["forest", "boosted"]
+
+
+@pytest.fixture(scope="module")
+def few_valued(spark):
+    draw = random.Random(9)
+    rows = [[draw.randrange(k) * 1.5 for k in (2, 3, 7, 12, 20)] for _ in range(600)]
+    labelled = [(Vectors.dense(r), int(r[2] + r[4] > 18 or draw.random() < 0.1)) for r in rows]
+    rows = spark.createDataFrame(labelled, ["features", "is_anomalous"])
+    return stage(rows.withColumn("is_anomalous", F.col("is_anomalous").cast("int")), "few")
+
+
+@pytest.mark.parametrize("depth", [1, 3, 4])
+def test_boosted_trees_without_draws_are_those_of_spark(few_valued, depth, monkeypatch):
+    monkeypatch.setattr(boosting, "ROWS_PER_TASK", 200)
+    monkeypatch.setattr(boosting, "ROUNDS_KEPT", 2)
+    own = boosting.fit_boosted(few_valued, 5, depth, 0.3, 1.0, 1.0, 1)
+    sparks = GBTClassifier(labelCol="is_anomalous", maxIter=5, maxDepth=depth, stepSize=0.3).fit(few_valued.coalesce(1))
+    for column in ("probability", "rawPrediction"):
+        both = sparks.transform(few_valued).select("features", models.positive_probability(F.col(column)).alias("theirs"))
+        both = own.transform(both).select("theirs", models.positive_probability(F.col(column)).alias("ours"))
+        assert both.agg(F.max(F.abs(F.col("theirs") - F.col("ours")))).first()[0] < 1e-9
+    assert sum(own.featureImportances) == pytest.approx(1.0)
+    assert list(own.treeWeights) == list(sparks.treeWeights)
+
+
+def test_boosted_round_costs_a_job_for_two_levels(spark, few_valued):
+    def jobs_of(rounds):
+        group = f"boosted-{rounds}"
+        spark.sparkContext.setJobGroup(group, "count the jobs")
+        models.train_boosted(few_valued.select("is_anomalous", F.expr("hash(features) % 5").alias("x")), ["x"], rounds=rounds)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    try:
+        assert jobs_of(12) - jobs_of(2) <= 2 * 10 + 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_boosted_trees_save_and_load_and_draw_alike(spark, split_features):
+    train = split_features.filter("not is_test")
+    model = models.train_boosted(train, rounds=3)
+    scored = models.score_boosted(model, split_features)
+    again = models.load_model(models.save_model(model, new_path(spark, "model")))
+    assert scored.exceptAll(models.score_boosted(again, split_features)).isEmpty()
+    assert models.tree_count(again) == 3
+    assert scored.exceptAll(models.score_boosted(models.train_boosted(train, rounds=3), split_features)).isEmpty()
