@@ -1,4 +1,5 @@
 import random
+import threading
 
 import pytest
 from pyspark.ml.classification import GBTClassifier
@@ -156,3 +157,20 @@ def test_boosted_trees_save_and_load_and_draw_alike(spark, split_features):
     assert scored.exceptAll(models.score_boosted(again, split_features)).isEmpty()
     assert models.tree_count(again) == 3
     assert scored.exceptAll(models.score_boosted(models.train_boosted(train, rounds=3), split_features)).isEmpty()
+
+
+def test_stages_of_a_model_are_saved_and_loaded_side_by_side(spark, split_features, monkeypatch):
+    from pyspark.ml.feature import VectorAssembler
+
+    forest = models.train_forest(split_features.filter("not is_test"), trees=2, depth=2, trees_per_group=1)
+    at_work = []
+    write, load = VectorAssembler.write, VectorAssembler.load
+    monkeypatch.setattr(VectorAssembler, "write", lambda self: at_work.append(threading.current_thread()) or write(self))
+    monkeypatch.setattr(VectorAssembler, "load", lambda path: at_work.append(threading.current_thread()) or load(path))
+    path = models.save_model(forest, new_path(spark, "model"))
+    models.save_model(forest, path)  # overwrites
+    again = models.load_model(path)
+    assert len(at_work) == 3 and threading.main_thread() not in at_work
+    assert [s.uid for s in again.stages] == [s.uid for s in models.PipelineModel.load(path).stages] == [s.uid for s in forest.stages]
+    forest.write().overwrite().save(path)
+    assert [s.uid for s in models.load_model(path).stages] == [s.uid for s in forest.stages]
