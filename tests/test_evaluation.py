@@ -136,6 +136,16 @@ def test_boosted_trees_without_draws_are_those_of_spark(few_valued, depth, monke
     assert list(own.treeWeights) == list(sparks.treeWeights)
 
 
+def test_boosted_trees_of_one_feature_are_those_of_spark(spark):
+    rows = [(Vectors.dense([float(i % 16)]), int(i % 16 in (3, 4, 9, 14) or i % 7 == 0)) for i in range(300)]
+    one = stage(spark.createDataFrame(rows, ["features", "is_anomalous"]).withColumn("is_anomalous", F.col("is_anomalous").cast("int")), "one")
+    own = boosting.fit_boosted(one, 2, 4, 0.3, 1.0, 1.0, 1)
+    sparks = GBTClassifier(labelCol="is_anomalous", maxIter=2, maxDepth=4, stepSize=0.3).fit(one.coalesce(1))
+    theirs = sparks.transform(one).select("features", models.positive_probability(F.col("probability")).alias("theirs"))
+    both = own.transform(theirs).select("theirs", models.positive_probability(F.col("probability")).alias("ours"))
+    assert both.agg(F.max(F.abs(F.col("theirs") - F.col("ours")))).first()[0] < 1e-9
+
+
 def test_boosted_round_costs_a_job_for_two_levels(spark, few_valued):
     def jobs_of(rounds):
         group = f"boosted-{rounds}"
