@@ -18,7 +18,7 @@ _FILLED = ", ".join(f"coalesce({f}, 0) AS {f}" for f in FEATURES)
 
 @check("ml1_feature_matrix", f"SELECT po_id, is_anomalous, {_FILLED} FROM silver")
 def _(t: Inputs):
-    return models.feature_matrix(t.silver)
+    return t.features
 
 
 @check("ml2_split", f"SELECT po_id, is_anomalous, {hash_fraction('split', 'po_id')} < 0.2 AS is_test FROM raw_labels")
@@ -47,7 +47,7 @@ def _fit_once(t: Inputs, *wanted: str):
     key = (t.spark.sparkContext.applicationId, t.base)
     made = _fits.setdefault(key, {})
     if "test" not in made:
-        rows = stage(models.with_split(models.feature_matrix(t.silver)), "features")
+        rows = stage(models.with_split(t.features), "features")
         made["train"] = stage(ordering.sample_rows(rows.filter("not is_test"), MAX_TRAINING_ROWS, "fit", "po_id"), "sample")
         made["test"] = rows.filter("is_test")
     with Jobs(t.spark) as jobs:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from levyscan.checks.views import AS_OF, with_views
 from levyscan.functions.scalars import hash_number, mark_to_flag
-from levyscan.constants import BOOSTED_NAME, FILING_QUARTERS, FOREST_NAME
-from levyscan.operators.models import decide, prediction_table
+from levyscan.constants import BOOSTED_NAME, FEATURES, FILING_QUARTERS, FOREST_NAME
+from levyscan.operators.models import decide, feature_matrix, prediction_table
 from levyscan.operators.setops import append_by_name
 from levyscan.plans import bronze, gold, silver
 from levyscan.sources import trade_tables
@@ -97,6 +97,11 @@ class Inputs:
         """The silver layer as a written table, for queries that read it more than once."""
         return stage(self.silver, "silver")
 
+    @cached_property
+    def features(self) -> DataFrame:
+        """The feature matrix: of the orders only what the rules read is written on the way."""
+        return feature_matrix(silver.build_silver(self.bronze, AS_OF, columns=["po_id", "is_anomalous", *FEATURES]))
+
     @cached_property
     def risk(self) -> DataFrame:
         """The vendor risk as a written table: of the silver layer only its columns are made."""

@@ -13,6 +13,9 @@ from levyscan.constants import (
 )
 
 
+HASH_BITS = 60  # of `hash_number`
+
+
 def flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it is false or unknown."""
     return F.when(condition, F.lit(1)).otherwise(F.lit(0))
@@ -124,7 +127,7 @@ def padded_id(prefix: str, number: Column, width: int) -> Column:
 
 def hash_fraction(salt: str, *keys: Column) -> Column:
     """Repeatable uniform value in [0, 1) from a key; each use takes its own salt."""
-    return hash_number(salt, *keys) / F.lit(float(1 << 60))
+    return hash_number(salt, *keys) / F.lit(float(1 << HASH_BITS))
 
 
 def hash_number(salt: str, *keys: Column) -> Column:

@@ -102,6 +102,12 @@ def vendor_month_profile(
 #: From so many orders on the wide rows are not moved to the vendor's profile.
 MANY_ORDERS = 1_000_000
 
+#: Columns of an order that joins and rules read; the others are only passed on.
+ORDER_INPUTS = [
+    "po_id", "po_date", "year", "month", *MONTH_KEYS, "hsn_code", "buyer_gstin", "buyer_state", "invoice_billing_name",
+    "cgst_rate", "sgst_rate", "igst_rate", "total_amount", "ewb_number", "ewb_generated_date",
+]
+
 #: What an order takes from the narrow sheet.
 FACTS = ["gst_rate", "invoice_dup_count", "invoice_count_same_vendor_same_day", "name_sim_score"]
 
@@ -131,9 +137,12 @@ def build_silver(
     history_value_is: str = "average",
     null_invoice: str = "group",
     many_orders: int = MANY_ORDERS,
+    columns: list[str] | None = None,
     **options,
 ) -> DataFrame:
-    """The wide table. `options` (broadcast_rows, rows_per_salt) reach every lookup.
+    """The wide table, or only the `columns` asked for: order columns that neither they nor the
+    rules need are then not written on the way. `options` (broadcast_rows, rows_per_salt) reach
+    every lookup.
 
     Orders, invoices and labels are laid out by the order id; the vendor profile, the narrow
     sheet and the groups and name pairs found in it are written on the way, side by side where
@@ -142,6 +151,8 @@ def build_silver(
     repeat, the facts of the sheet are attached to the rows themselves in place of by id.
     """
     dated = enforce_types(bronze.purchase_orders).withColumn("year_month", year_month(F.col("po_date")))
+    if columns is not None:
+        dated = dated.select(*[c for c in dated.columns if c in ORDER_INPUTS or c in columns])
 
     def sheet_table(orders: DataFrame, invoices: DataFrame, vendors: DataFrame, month_counts: DataFrame) -> DataFrame:
         columns = ["po_id", "year", "month", *MONTH_KEYS, "hsn_code", "invoice_billing_name"]
@@ -182,7 +193,8 @@ def build_silver(
         else:
             found = facts.attach(sheet, schedule, null_invoice, **options).select("po_id", *FACTS)
             wide = with_profile(labelled.join(found, "po_id", "left"))
-    return with_score(with_row_rules(wide, as_of))
+    scored = with_score(with_row_rules(wide, as_of))
+    return scored if columns is None else scored.select(*columns)
 
 
 def with_row_rules(wide: DataFrame, as_of: str | None = None) -> DataFrame:

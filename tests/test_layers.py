@@ -179,3 +179,25 @@ def test_risk_and_flags_do_not_write_the_wide_table(spark, inputs):
     t = Inputs(spark, inputs.base)
     assert t.risk.count() > 0 and set(FLAG_TABLE_COLUMNS) <= set(t.flags.columns)
     assert "silver_table" not in vars(t)
+
+
+def test_the_feature_matrix_writes_no_order_columns_that_are_only_passed_on(spark, inputs, silver, monkeypatch):
+    from levyscan.checks.registry import Inputs
+    from levyscan.operators.models import feature_matrix
+    from levyscan.plans import silver as plan
+
+    laid = {}
+    laid_out = plan.laid_out
+    monkeypatch.setattr(plan, "laid_out", lambda df, key, name: laid.update({name: df.columns}) or laid_out(df, key, name))
+    t = Inputs(spark, inputs.base)
+    got, want = getattr(t, "features", t.silver), feature_matrix(silver)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert "total_amount" in laid["orders"] and not {"product_desc", "unit", "delivery_state"} & set(laid["orders"])
+
+
+def test_columns_of_silver_are_those_of_the_wide_table(inputs, silver):
+    wanted = ["po_id", "product_desc", "severity", "rule_score", "ewb_generated_date"]
+    for many in (0, 1_000_000):
+        some = build_silver(inputs.bronze, AS_OF, many_orders=many, columns=wanted)
+        assert some.columns == wanted
+        assert some.exceptAll(silver.select(*wanted)).isEmpty() and some.count() == silver.count()

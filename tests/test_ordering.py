@@ -55,3 +55,23 @@ def test_clusters(spark):
     ids = spark.range(10)
     got = ordering.fixed_size_clusters(ids, ["id"], 4, "c").orderBy("id").collect()
     assert [r.c for r in got] == [0, 0, 0, 0, 1, 1, 1, 1, 2, 2]
+
+
+def test_a_sample_puts_only_rows_near_it_in_order(spark, rows, monkeypatch):
+    ordered = []
+    written = ordering._written_in_order
+    monkeypatch.setattr(ordering, "_written_in_order", lambda df, order: ordered.append(df.count()) or written(df, order))
+    for n in (0, 1, 100, 5000, 6000):
+        got = ordering.sample_rows(rows, n, "few", "id")
+        want = rows.withColumn("h", hash_number("few", F.col("id"))).orderBy("h", "id").limit(n).drop("h")
+        assert got.columns == rows.columns and got.count() == min(n, 5000)
+        assert got.exceptAll(want).isEmpty()
+    assert ordered[2] < 400 and ordered[3:] == [5000, 5000]
+
+
+def test_a_sample_whose_hashes_lie_high_is_whole(spark, rows):
+    """Fewer rows than asked for lie in the share of the hash range looked at first."""
+    high = rows.filter(hash_number("few", F.col("id")) > F.lit(1 << 59))
+    got = ordering.sample_rows(high, 100, "few", "id")
+    want = high.withColumn("h", hash_number("few", F.col("id"))).orderBy("h", "id").limit(100).drop("h")
+    assert got.count() == 100 and got.exceptAll(want).isEmpty()
