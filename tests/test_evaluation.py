@@ -113,6 +113,19 @@ def test_queries_fit_only_the_models_they_ask_for(inputs, monkeypatch):
     assert fitted == ["forest", "boosted"]
 
 
+def test_models_are_fitted_on_all_training_rows(inputs, split_features, monkeypatch):
+    from levyscan.checks import catalog_cases
+
+    counted = {}
+    trainers = {name: lambda train, name=name: counted.update({name: train.count()}) for name in ("forest", "boosted")}
+    monkeypatch.setattr(catalog_cases, "_TRAINERS", trainers)
+    monkeypatch.setattr(catalog_cases, "_fits", {})
+    monkeypatch.setattr(catalog_cases, "MAX_TRAINING_ROWS", 100, raising=False)
+    catalog_cases._fit_once(inputs, "forest", "boosted")
+    rows = split_features.filter("not is_test").count()
+    assert rows > 100 and counted == {"forest": rows, "boosted": rows}
+
+
 @pytest.fixture(scope="module")
 def few_valued(spark):
     draw = random.Random(9)
