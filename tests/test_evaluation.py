@@ -2,12 +2,12 @@ import random
 import threading
 
 import pytest
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from levyscan.operators import boosting, evaluation, models
+from levyscan.operators import boosting, evaluation, forest, models
 from levyscan.sources.staging import new_path, stage
 
 SCHEMA = "model_name string, label int, prediction int, probability double"
@@ -197,3 +197,88 @@ def test_stages_of_a_model_are_saved_and_loaded_side_by_side(spark, split_featur
     assert [s.uid for s in again.stages] == [s.uid for s in models.PipelineModel.load(path).stages] == [s.uid for s in forest.stages]
     forest.write().overwrite().save(path)
     assert [s.uid for s in models.load_model(path).stages] == [s.uid for s in forest.stages]
+
+
+def forest_of(rows, trees, depth, features, bootstrap=True):
+    made = forest.fit_forest(rows, trees, depth, features, 7, 2, bootstrap)
+    return made, forest.with_share(rows, made, "ours")
+
+
+def plain_shares(rows, depth):
+    """Each row's share of class 1 at its leaf; rows are (label, values)."""
+    totals = [sum(y == c for y, _ in rows) for c in (0, 1)]
+    weight = [len(rows) / (2 * n) for n in totals]
+
+    def impurity(part):
+        a, b = (weight[c] * sum(y == c for y, _ in part) for c in (0, 1))
+        return 2 * a * b / (a + b)
+
+    def below(part, left):
+        a, b = (weight[c] * sum(y == c for y, _ in part) for c in (0, 1))
+        found = []
+        for f in range(len(rows[0][1])) if left and a and b else ():
+            for cut in sorted({x[f] for _, x in part})[:-1]:
+                sides = [r for r in part if r[1][f] <= cut], [r for r in part if r[1][f] > cut]
+                found.append((-round(impurity(part) - impurity(sides[0]) - impurity(sides[1]), 9), f, cut, sides))
+        best = min(found, key=lambda split: split[:3], default=(0,))
+        if best[0] >= 0:
+            return {x: b / (a + b) for _, x in part}
+        return below(best[3][0], left - 1) | below(best[3][1], left - 1)
+
+    return below(rows, depth)
+
+
+@pytest.mark.parametrize("local", [500_000, 60])
+@pytest.mark.parametrize("depth", [1, 4, 30])
+def test_tree_without_draws_is_the_plain_one(few_valued, depth, local, monkeypatch):
+    monkeypatch.setattr(forest, "LOCAL_CELLS", local)
+    monkeypatch.setattr(forest, "LEAST_PER_BLOCK", 50)
+    _, scored = forest_of(few_valued, 1, depth, 5, bootstrap=False)
+    rows = scored.collect()
+    assert len(rows) == few_valued.count()
+    want = plain_shares([(r.is_anomalous, tuple(r.features)) for r in rows], depth)
+    assert max(abs(r.ours - want[tuple(r.features)]) for r in rows) < 1e-9
+    if depth <= 4:  # Spark's tree decides alike; its leaves differ, as it joins those of one decision
+        weighted = stage(models.with_class_weight(scored.withColumn("po_id", F.monotonically_increasing_id())).drop("po_id"), "weighted")
+        sparks = DecisionTreeClassifier(labelCol="is_anomalous", weightCol="weight", maxDepth=depth).fit(weighted.coalesce(1))
+        assert sparks.transform(scored).filter((F.col("ours") > 0.5) != (F.col("prediction") == 1)).isEmpty()
+
+
+def test_forest_is_the_same_however_it_is_cut(few_valued, monkeypatch):
+    monkeypatch.setattr(forest, "LEAST_PER_BLOCK", 50)
+    _, whole = forest_of(few_valued, 5, 30, 3)
+    monkeypatch.setattr(forest, "CELLS_PER_WAVE", 700)
+    monkeypatch.setattr(forest, "SCORED_AT_ONCE", 100)
+    made, cut = forest_of(few_valued, 5, 30, 3)
+    assert whole.exceptAll(cut).isEmpty() and whole.count() == cut.count() == few_valued.count()
+    assert [len(g.treeWeights) for g in made] == [2, 2, 1]
+    own = made[0].transform(few_valued).select(models.positive_probability(F.col("votes_0")).alias("p"))
+    assert own.filter("p < 0 or p > 1 or p is null").isEmpty()
+
+
+def test_forest_with_tops_is_as_good_as_one_without(few_valued, monkeypatch):
+    def error(local):
+        monkeypatch.setattr(forest, "LOCAL_CELLS", local)
+        scored = forest_of(few_valued, 30, 30, 3)[1]
+        return scored.agg(F.avg(F.abs(F.col("ours") - F.col("is_anomalous")))).first()[0]
+
+    assert error(40) == pytest.approx(error(500_000), abs=0.02)
+
+
+def test_draws_of_a_cell_are_those_of_its_rows():
+    import numpy as np
+
+    grower = forest._Grower(np.array([2]), np.ones(2), 1, 30, 1, True)
+    counts = np.full((2, 20_000), 3)
+    drawn = grower.drawn(0, 0, counts)
+    assert drawn.mean() == pytest.approx(3, abs=0.05) and drawn.var() == pytest.approx(3, abs=0.1)
+    assert (drawn == grower.drawn(0, 0, counts)).all() and (drawn != grower.drawn(1, 0, counts)).any()
+
+
+def test_packed_bins_of_many_features_come_back():
+    import numpy as np
+
+    sizes = np.array([32, 1, 2, 7] * 12)
+    codes = np.random.default_rng(3).integers(0, sizes, (100, 48)).astype(np.uint8)
+    packing = forest.Packing(sizes)
+    assert packing.words > 1 and (packing.unpack(packing.pack(codes)) == codes).all()
