@@ -282,3 +282,27 @@ def test_packed_bins_of_many_features_come_back():
     codes = np.random.default_rng(3).integers(0, sizes, (100, 48)).astype(np.uint8)
     packing = forest.Packing(sizes)
     assert packing.words > 1 and (packing.unpack(packing.pack(codes)) == codes).all()
+
+
+def test_boosted_trees_by_level_are_those_by_two(few_valued, monkeypatch):
+    monkeypatch.setattr(boosting, "ROWS_PER_TASK", 200)
+
+    def shares(paired):
+        monkeypatch.setattr(boosting, "PAIRED_ROWS", paired, raising=False)
+        model = boosting.fit_boosted(few_valued, 4, 4, 0.3, 0.8, 0.8, 1)
+        scored = model.transform(few_valued).select("features", models.positive_probability(F.col("probability")).alias("p"))
+        return {tuple(r.features): r.p for r in scored.collect()}
+
+    by_level, by_two = shares(0), shares(60_000)
+    assert by_level.keys() == by_two.keys() and all(by_level[x] == pytest.approx(by_two[x], abs=1e-9) for x in by_two)
+
+
+def test_rows_of_the_same_bins_are_one_in_boosting(spark, few_valued):
+    twice = stage(few_valued.union(few_valued).union(few_valued), "thrice")
+    alone, repeated = (boosting.fit_boosted(rows, 4, 4, 0.3, 1.0, 1.0, 1).transform(few_valued) for rows in (few_valued, twice))
+    p = models.positive_probability(F.col("probability"))
+    both = repeated.select("features", p.alias("theirs")).distinct().join(alone.select("features", p.alias("ours")).distinct(), "features")
+    assert both.agg(F.max(F.abs(F.col("theirs") - F.col("ours")))).first()[0] < 1e-9
+    block = boosting._Block(None, boosting.np.ones(10_000), boosting.np.full(10_000, 4), None)
+    kept = block.kept(boosting.np.random.default_rng(2), 0.8)
+    assert kept.mean() == pytest.approx(3.2, abs=0.05) and kept.var() == pytest.approx(4 * 0.8 * 0.2, abs=0.05)
